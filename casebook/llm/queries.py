@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from casebook.llm.bpe import op2_bpe
+from casebook.llm.decontam import op7_decontam
 from casebook.llm.simhash import op1_simhash
 
-QUERIES = {"op1_simhash": op1_simhash}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_bpe": op2_bpe,
+    "op7_decontam": op7_decontam,
+}
 SQL: dict[str, str] = {}
