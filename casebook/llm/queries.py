@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from casebook.llm.bpe import op2_bpe
 from casebook.llm.decontam import op7_decontam
+from casebook.llm.quality import op9_quality
 from casebook.llm.simhash import op1_simhash
+from casebook.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
     "op7_decontam": op7_decontam,
+    "op9_quality": op9_quality,
 }
 SQL: dict[str, str] = {}
