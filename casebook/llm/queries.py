@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from casebook.llm.bpe import op2_bpe
+from casebook.llm.chat import OP6_SQL, op6_chat
 from casebook.llm.decontam import op7_decontam
+from casebook.llm.langid import op5_langid
 from casebook.llm.quality import op9_quality
 from casebook.llm.simhash import op1_simhash
 from casebook.llm.toxicity import op3_toxicity
@@ -12,7 +14,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
+    "op5_langid": op5_langid,
+    "op6_chat": op6_chat,
     "op7_decontam": op7_decontam,
     "op9_quality": op9_quality,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_chat": OP6_SQL}
