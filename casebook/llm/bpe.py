@@ -139,13 +139,14 @@ def decode(encoded: DataFrame, id_col: str = "id", ids_col: str = "ids", ranks:
     return rows.mapInArrow(run, "id long, ids array<int>, raw binary")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """Round trip of a documents table: count and digest of the ids, digest of the decoded bytes."""
+def digests(docs: DataFrame, *more: str) -> DataFrame:
+    """Round trip of a documents table: count and digest of the ids, digest of the decoded bytes; ``more``: also "ids" or "raw"."""
     return decode(encode(docs)).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("raw", 256).alias("decoded_sha256"),
+        *more,
     )
 
 

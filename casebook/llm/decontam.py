@@ -14,7 +14,6 @@ kept as rows; empty tables are fine on either side.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ from casebook.llm.common import cut
 WINDOW = 13
 #: Bytes of text in a shard, but for a longer single document.
 SHARD = 4 << 20
-#: Bytes of test items that may be broadcast; more are taken in several passes over the index.
+#: MB of test items that may be broadcast; a larger set must be split by the caller.
 ITEMS_MB = 16
 
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
@@ -226,6 +225,13 @@ def near(docs: DataFrame, items: DataFrame, slack: int = 20, rarest: int = 3, id
     return index.mapInArrow(run, "id long, item string")
 
 
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, as they are."""
+    rows = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("n")))
+    found = contamination(rows.select("n", F.col("row").getField(text_col).alias("text")), items, "n", "text", item_id, item_text)
+    return rows.join(found.where("contaminated").select(F.col("id").alias("n")), "n", "left_anti").select("row.*")
+
+
 def op7_decontam(spark, sf_dir: str) -> DataFrame:
     out = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return out.select(

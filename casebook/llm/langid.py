@@ -241,6 +241,34 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, kind)
 
 
+def keep_identified(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language, as they are: ``und`` rows go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        lab = Labeller(m) if m["langs"] else None
+        for b in batches:
+            if lab is None:
+                continue
+            texts = [t or "" for t in b.column(0).field(at).to_pylist()]
+            begin = 0
+            while begin < len(texts):
+                end, size = begin, 0
+                while end < len(texts) and size < BATCH_CHARS:
+                    size += len(texts[end])
+                    end += 1
+                _, letters, first = lab.paths(texts[begin:end])
+                total = np.r_[0, np.cumsum(letters)]
+                named = total[first[1:]] > total[first[:-1]]
+                yield b.slice(begin, end - begin).filter(pa.array(named))
+                begin = end
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.mapInArrow(run, rows.schema).select("row.*")
+
+
 def op5_langid(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = predict(docs, fit(docs))

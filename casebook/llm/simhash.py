@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from casebook.llm.common import connected, cut, drop, tiled
 
@@ -42,16 +43,22 @@ def fingerprint(raw: bytes | None) -> int:
     return int.from_bytes(np.packbits(2 * count > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` a row; ``fp`` is the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``(id, fp)`` a row; ``fp`` is the fingerprint's 64 bits as a signed long. With ``carry`` also ``row``: all of the row."""
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(x) for x in b.column(1).cast(pa.binary()).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            text = b.column(1).field(at) if carry else b.column(1)
+            fps = np.array([fingerprint(x) for x in text.cast(pa.binary()).to_pylist()], np.uint64)
+            cols = [b.column(0), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols + [b.column(1)], ["id", "fp", "row"]) if carry else pa.RecordBatch.from_arrays(cols, ["id", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    if not carry:
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.mapInArrow(run, StructType([StructField("id", LongType()), StructField("fp", LongType()), rows.schema["row"]]))
 
 
 def _near(fp_a: np.ndarray, fp_b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,18 +164,32 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """``(id, fp, component_id)`` for every row of ``docs``: the smallest id reachable over links of fingerprints."""
-    rows = cut(fingerprints(docs, id_col, text_col))
+def classes(rows: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``(fp, low, root)`` for the distinct fingerprints of ``rows(id, fp)``: smallest id, and the smallest fingerprint reachable."""
     own = cut(rows.groupBy("fp").agg(F.min("id").alias("low")))
     found = cut(links(own.select("fp"), radius, tile))
     root = connected(found)
-    own = own.join(root, own["fp"] == root["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = own.groupBy("root").agg(F.min("low").alias("component_id"))
     drop(found)
+    return own.join(root, own["fp"] == root["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``(id, fp, component_id)`` for every row of ``docs``: the smallest id reachable over links of fingerprints."""
+    rows = cut(fingerprints(docs, id_col, text_col))
+    own = classes(rows, radius, tile)
+    least = own.groupBy("root").agg(F.min("low").alias("component_id"))
     return rows.join(own.join(least, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """One row of each group: that of the smallest id (null ids last), of repeated rows just one."""
+    rows = cut(fingerprints(docs, id_col, text_col, carry=True).withColumn("n", F.monotonically_increasing_id()))
+    own = classes(rows.select("id", "fp"), radius, tile).select("fp", "root")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n"))
+    kept = rows.select("id", "fp", "n").join(own, "fp").groupBy("root").agg(first.alias("first")).select(F.col("first.n").alias("n"))
+    return rows.join(kept, "n", "left_semi").select("row.*")
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = near_duplicates(docs)

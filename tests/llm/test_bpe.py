@@ -11,13 +11,17 @@ from casebook.llm import bpe
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 
 
-@pytest.fixture(scope="module")
-def enc():
+def library():
     with open(bpe.default_ranks(), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@pytest.fixture(scope="module")
+def enc():
+    return library()
+
+
 def texts():
     rng = random.Random(1)
     alphabet = ["a", "re", "'", "'re", " ", "  ", "\n", "é", "漢字", "🙂", "7", "12", "!", "?!", " ", "don't", "<|endoftext|>"]
