@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from casebook.functions import fixed
 
@@ -23,7 +24,7 @@ def none_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _xml_text(s: pd.Series) -> pd.Series:
     def one(text: str | None) -> str | None:
         if text is None:
@@ -154,7 +155,7 @@ def escape_iri(line: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^<[^>]*>$"), F.replace(p, F.lit(" "), F.lit("%20"))).otherwise(p)), "")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _literal_json(s: pd.Series) -> pd.Series:
     import ast
     import json
