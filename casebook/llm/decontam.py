@@ -26,8 +26,10 @@ from casebook.llm.common import cut
 WINDOW = 13
 #: Bytes of text in a shard, but for a longer single document.
 SHARD = 4 << 20
-#: MB of test items that may be broadcast; a larger set must be split by the caller.
-ITEMS_MB = 16
+#: MB of test items that are broadcast at once; more are taken in several passes over the stored index.
+ITEMS_MB = 4
+#: MB of test items in all, which the driver reads.
+ALL_ITEMS_MB = 256
 
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 INDEX = "doc_ids array<bigint>, n_words array<int>, terms array<int>, lengths array<int>, positions binary"
@@ -40,13 +42,13 @@ def words(raw: bytes | None) -> list[bytes]:
 class Queries:
     """Test items as term numbers: the vocabulary, and each item's windows."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
-        self.vocabulary: dict[bytes, int] = {}
+    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW, vocabulary: dict[bytes, int] | None = None):
+        vocabulary = {} if vocabulary is None else vocabulary
         self.names = sorted({i for i, _ in items})
         at = {i: k for k, i in enumerate(self.names)}
         rows, sizes, owner, self.whole = [], [], [], []
         for name, raw in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(raw)]
+            ids = [vocabulary.setdefault(w, len(vocabulary)) for w in words(raw)]
             if not ids:
                 continue
             self.whole.append((at[name], ids))
@@ -59,12 +61,12 @@ class Queries:
         self.sizes, self.owner = np.array(sizes, np.int64), np.array(owner, np.int64)
 
 
-def build_index(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
-    """One row a shard: the documents with their word counts, and the posting lists one after the other."""
+def build_index(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
+    """One row a shard: the documents with their word counts, and the posting lists one after the other. ``vocabulary``: a broadcast dict."""
 
     def pack(ids: list, texts: list) -> tuple:
         tokens, counts = [], []
-        number = vocabulary.get
+        number = vocabulary.value.get
         for raw in texts:
             w = words(raw)
             counts.append(len(w))
@@ -170,55 +172,101 @@ def proximity(s: Shard, q: Queries, slack: int, rarest: int = 3) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
+def _hit(s: Shard, q: Queries, window: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each position of the shard lies in an occurrence."""
+    mark = np.zeros(int(s.first[-1]) + WINDOW + q.terms.shape[1] + 1, np.int64)
+    np.add.at(mark, at, 1)
+    np.add.at(mark, at + q.sizes[window], -1)
+    return np.cumsum(mark)[: int(s.first[-1])] > 0
+
+
+def _found_items(s: Shard, q: Queries, window: np.ndarray, at: np.ndarray) -> dict[int, list[str]]:
+    out: dict[int, list[str]] = {}
+    if len(at):
+        for d, i in np.unique(np.stack([s.doc(at), q.owner[window]], 1), axis=0).tolist():
+            out.setdefault(d, []).append(q.names[i])
+    return out
+
+
 def _report(s: Shard, q: Queries) -> list:
     window, at = phrases(s, q)
     n = len(s.doc_ids)
-    hits, items = np.zeros(n, np.int64), [[] for _ in range(n)]
-    if len(at):
-        mark = np.zeros(int(s.first[-1]) + WINDOW + q.terms.shape[1] + 1, np.int64)
-        np.add.at(mark, at, 1)
-        np.add.at(mark, at + q.sizes[window], -1)
-        hit = np.cumsum(mark) > 0
-        hits = np.add.reduceat(hit[: int(s.first[-1])].astype(np.int64), s.first[:-1])
-        for d, i in np.unique(np.stack([s.doc(at), q.owner[window]], 1), axis=0).tolist():
-            items[d].append(q.names[i])
-    return [pa.array(s.doc_ids, pa.int64()), pa.array(s.n_words), pa.array(hits), pa.array(items, pa.list_(pa.string()))]
+    hits = np.add.reduceat(_hit(s, q, window, at).astype(np.int64), s.first[:-1]) if len(at) else np.zeros(n, np.int64)
+    items = _found_items(s, q, window, at)
+    return [pa.array(s.doc_ids, pa.int64()), pa.array(s.n_words), pa.array(hits), pa.array([items.get(d, []) for d in range(n)], pa.list_(pa.string()))]
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", items_mb: int = ITEMS_MB) -> DataFrame:
+def _partial(s: Shard, q: Queries, shard: int) -> pa.RecordBatch:
+    """Hit positions and items of the documents that have some."""
+    window, at = phrases(s, q)
+    items = _found_items(s, q, window, at)
+    hit = np.flatnonzero(_hit(s, q, window, at)) if len(at) else np.empty(0, np.int64)
+    docs = sorted(items)
+    cuts = np.searchsorted(hit, [[s.first[d], s.first[d + 1]] for d in docs]) if docs else []
+    kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()))
+    cols = ([shard] * len(docs), docs, [hit[x:y].tolist() for x, y in cuts], [items[d] for d in docs])
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["shard", "doc", "hit", "items"])
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", items_mb: float = ITEMS_MB) -> DataFrame:
     """``(id, n_words, n_hit, items array<string>, contaminated)`` for every row of ``docs``.
 
-    The items go to every executor, so their size is checked first: more than ``items_mb`` of text raises.
+    Test items go to every executor, ``items_mb`` of them at once: a larger set is taken in passes over the stored index, whose hits are united.
+    Over ``ALL_ITEMS_MB`` raises.
     """
     some = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
     size = some.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if size > items_mb << 20:
-        raise ValueError(f"the test items hold {size} bytes, more than {items_mb} MB: split them and call once a part")
-    q = Queries([(r.i, r.t.encode()) for r in some.collect()])
-    shared = docs.sparkSession.sparkContext.broadcast(q)
-    index = cut(build_index(docs, q.vocabulary, id_col, text_col))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = shared.value
-        for b in batches:
-            for at in range(b.num_rows):
-                s = Shard(b.slice(at, 1).to_pylist()[0], len(q.vocabulary))
-                yield pa.RecordBatch.from_arrays(_report(s, q), ["id", "n_words", "n_hit", "items"])
-
-    out = index.mapInArrow(run, "id long, n_words long, n_hit long, items array<string>")
+    if size > ALL_ITEMS_MB << 20:
+        raise ValueError(f"the test items hold {size} bytes, more than {ALL_ITEMS_MB} MB")
+    listed = sorted((r.i, r.t.encode()) for r in some.collect())
+    vocabulary: dict[bytes, int] = {}
+    parts, room = [[]], items_mb * (1 << 20)
+    for x in listed:
+        if room < len(x[1]) and parts[-1]:
+            parts.append([])
+            room = items_mb * (1 << 20)
+        parts[-1].append(x)
+        room -= len(x[1])
+    queries = [Queries(p, vocabulary=vocabulary) for p in parts]
+    sc, n_terms = docs.sparkSession.sparkContext, len(vocabulary)
+    index = cut(build_index(docs, sc.broadcast(vocabulary), id_col, text_col).withColumn("shard", F.monotonically_increasing_id()))
+
+    def run(shared, make):
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            q = shared.value
+            for b in batches:
+                for at in range(b.num_rows):
+                    row = b.slice(at, 1).to_pylist()[0]
+                    yield make(Shard(row, n_terms), q, row["shard"])
+
+        return each
+
+    if len(queries) == 1:
+        whole = lambda s, q, _: pa.RecordBatch.from_arrays(_report(s, q), ["id", "n_words", "n_hit", "items"])
+        out = index.mapInArrow(run(sc.broadcast(queries[0]), whole), "id long, n_words long, n_hit long, items array<string>")
+    else:
+        found = None
+        for q in queries:
+            part = index.mapInArrow(run(sc.broadcast(q), _partial), "shard long, doc int, hit array<bigint>, items array<string>")
+            found = part if found is None else found.unionByName(part)
+        united = found.groupBy("shard", "doc").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("hit", "items")])
+        rows = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("doc", "d")).select("shard", "doc", F.col("d.doc_ids").alias("id"), F.col("d.n_words").cast("long").alias("n_words"))
+        out = rows.join(united, ["shard", "doc"], "left").select("id", "n_words", F.coalesce(F.size("hit"), F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        out = out.withColumn("n_hit", F.greatest("n_hit", F.lit(0)))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def near(docs: DataFrame, items: DataFrame, slack: int = 20, rarest: int = 3, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Proximity matches ``(id, item)``: documents that hold an item's rarest terms near one another."""
+    """Proximity matches ``(id, item)``: documents that hold an item's rarest terms near one another. For sets of items that fit an executor."""
     some = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
-    q = Queries([(r.i, r.t.encode()) for r in some.collect()])
-    index = build_index(docs, q.vocabulary, id_col, text_col)
+    vocabulary: dict[bytes, int] = {}
+    q = Queries([(r.i, r.t.encode()) for r in some.collect()], vocabulary=vocabulary)
+    index = build_index(docs, docs.sparkSession.sparkContext.broadcast(vocabulary), id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                s = Shard(row, len(q.vocabulary))
+                s = Shard(row, len(vocabulary))
                 pairs = proximity(s, q, slack, rarest)
                 yield pa.RecordBatch.from_arrays([pa.array([s.doc_ids[d] for d in pairs[:, 0]], pa.int64()), pa.array([q.names[i] for i in pairs[:, 1]], pa.string())], ["id", "item"])
 

@@ -31,10 +31,10 @@ def brute(docs, items):
     return sorted(out, key=str)
 
 
-def run(spark, docs, items):
+def run(spark, docs, items, **kw):
     d = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, items string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = decontam.contamination(d, b).collect()
+    got = decontam.contamination(d, b, **kw).collect()
     return sorted(((r.id, r.n_words, r.n_hit, len(r.items), hashlib.sha256(",".join(sorted(r.items)).encode()).hexdigest(), r.contaminated) for r in got), key=str)
 
 
@@ -48,6 +48,7 @@ def test_against_brute_force(spark):
         docs.append((1000 + i, f"{text(rng.randrange(0, 200))}; {rng.choice(items)[1] or ''}. {text(rng.randrange(3))}"))
     docs.append((1000, docs[-1][1]))
     assert run(spark, docs, items) == brute(docs, items)
+    assert run(spark, docs, items, items_mb=100 / (1 << 20)) == brute(docs, items)
 
 
 def test_empty_sides(spark):
@@ -59,8 +60,9 @@ def test_shards_and_long_text(spark, monkeypatch):
     items = [(1, " ".join(f"w{i}" for i in range(20)))]
     docs = [(i, "x " * 500 + " ".join(f"W{k}" for k in range(i, i + 15))) for i in range(10)]
     d = spark.createDataFrame(docs, "doc_id long, text string")
-    q = decontam.Queries([("1", items[0][1].encode())])
-    assert decontam.build_index(d.coalesce(1), q.vocabulary, shard=1000).count() == 10
+    vocabulary = {}
+    decontam.Queries([("1", items[0][1].encode())], vocabulary=vocabulary)
+    assert decontam.build_index(d.coalesce(1), spark.sparkContext.broadcast(vocabulary), shard=1000).count() == 10
     assert run(spark, docs, items) == brute(docs, items)
 
 
