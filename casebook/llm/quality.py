@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from casebook.llm.common import fold
 from casebook.llm.fitting import logistic, per_class, sigmoid
 
-SAMPLE = 6000
+SAMPLE = 10000
 BINS = 10
 SYMBOLS = b"#$%&*!|@<>{}[]=_~^+\\/"
 
@@ -44,7 +44,7 @@ def shape(raw: bytes | None) -> list[float]:
         *[float(hist[c]) for c in SYMBOLS[:7]], float(hist[list(SYMBOLS[7:])].sum()), float(hist[48:58].sum()), float(upper / (upper + lower + 1e-9)),
         float(hist[46] * n / k), float(hist[44] * n / k), float(hist[128:].sum()), float(hist[10] * n / k), edge / k,
         len(common) / k**0.9, max(common.values(), default=0) / k, sum(sorted(common.values())[-3:]) / k, len(raw) / k,
-        len(set(lines)) / len(lines), k / len(lines), float(np.log1p(k)), sum(map(common.__getitem__, [w for w in common if len(w) == 1])) / k,
+        sum(map(bytes.__eq__, words, words[1:])) / k, len(set(lines)) / len(lines), k / len(lines), float(np.log1p(k)), sum(map(common.__getitem__, [w for w in common if len(w) == 1])) / k,
     ]
 
 
@@ -54,6 +54,12 @@ def expand(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.concatenate([*out, np.ones((len(x), 1), bool)], 1).astype(np.float64)
 
 
+def cuts(c: np.ndarray) -> np.ndarray:
+    """Bin edges of a figure: quantiles of all values and of those above the least, so that rare ones are told apart, too."""
+    at, above = np.linspace(0.02, 0.98, BINS), c[c > c.min()]
+    return np.unique(np.r_[np.quantile(c, at), np.quantile(above, at) if len(above) else []])
+
+
 def class_prior(pos: np.ndarray, unl: np.ndarray, least: float = 0.2) -> float:
     """Share of positives in ``unl``: the lowest ratio of tails over thresholds that keep enough positives, with a margin for chance."""
     at = np.unique(np.quantile(pos, np.linspace(0, 1 - least, 200)))
@@ -100,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     x, y = x[order], y[order]
     if len(set(y.tolist())) < 2:
         return {"edges": None, "flat": float(y.mean())}
-    edges = [np.unique(np.quantile(c, np.linspace(0.02, 0.98, BINS))) for c in x.T]
+    edges = [cuts(c) for c in x.T]
     z = expand(x, edges)
     half = np.arange(len(y)) % 2 == 0
     rough = logistic(z[half], y[half].astype(float), np.ones(half.sum()), l2=5.0)
