@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import fold
+from casebook.llm.common import fold, stretches
 from casebook.llm.fitting import logistic, per_class, sigmoid
 
 SAMPLE = 10000
@@ -70,19 +70,20 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, least: float = 0.2) -> float:
     return float(np.clip(u[best] / p[best], 0.02, 0.98))
 
 
-def non_negative(pos: np.ndarray, unl: np.ndarray, prior: float, l2: float = 1e-4, steps: int = 400, rate: float = 0.05) -> np.ndarray:
-    """Weights that minimise ``prior * R+(pos) + max(0, R-(unl) - prior * R-(pos))`` with the logistic loss, by Adam."""
+def non_negative(pos: np.ndarray, unl: np.ndarray, prior: float, l2: float = 3e-4, steps: int = 400, rate: float = 0.05) -> np.ndarray:
+    """Weights that minimise ``prior * R+(pos) + max(0, R-(unl) - prior * R-(pos))`` with the logistic loss, by Adam; the mean of the last tenth of steps."""
     w = np.zeros(pos.shape[1])
-    m, v = np.zeros_like(w), np.zeros_like(w)
+    m, v, mean, last = np.zeros_like(w), np.zeros_like(w), np.zeros_like(w), steps // 10
     for t in range(1, steps + 1):
         sp, su = sigmoid(pos @ w), sigmoid(unl @ w)
         negative = -np.log(np.clip(1 - su, 1e-9, 1)).mean() + prior * np.log(np.clip(1 - sp, 1e-9, 1)).mean()
         gu = unl.T @ su / len(unl) - prior * (pos.T @ sp) / len(pos)
-        g = gu * -1.0 if negative < 0 else prior * (pos.T @ (sp - 1)) / len(pos) + gu
-        g = g + l2 * np.r_[w[:-1], 0]
+        # where the second part is below zero it is pushed back up
+        g = prior * (pos.T @ (sp - 1)) / len(pos) + (gu if negative >= 0 else -gu) + l2 * np.r_[w[:-1], 0]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w
+        mean += w * (t > steps - last) / last
+    return mean
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", size: int = SAMPLE) -> dict:
@@ -122,8 +123,8 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at, n in stretches(b.column(1)):
+                part = b.slice(at, n)
                 if m["edges"] is None:
                     s = np.full(part.num_rows, m["flat"])
                 else:
