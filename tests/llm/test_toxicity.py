@@ -45,7 +45,8 @@ def test_label_model_against_wrong_labels_and_copied_voters():
     y = rng.random(4000) < 0.2
     good = [(rng.random(4000) < np.where(y, 0.6, 0.02)) for _ in range(4)]
     noise = rng.random(4000) < 0.1
-    votes = np.stack([*good, noise, noise, noise], 1).astype(float)
+    none = ~np.any([*good, noise], axis=0)
+    votes = np.stack([*good, noise, noise, noise, none], 1).astype(float)
     told = np.where(rng.random(4000) < 0.05, ~y, y).astype(int)
     post = toxicity.label_model(votes, told, np.ones(4000))
     assert ((post > 0.5) == y).mean() > (told == y).mean() + 0.01
