@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from casebook.functions import scalars as S
 
@@ -54,7 +53,3 @@ def index_range(items: DataFrame, item_type: str, low: str, high: str) -> DataFr
     """Items of a type whose ``SourceDocDate`` lies between two prefixes, both included."""
     return items.where((F.col("ItemType") == item_type) & (F.col("SourceDocDate") >= low) & (F.col("SourceDocDate") <= high + "￿"))
 
-
-def numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """``seq`` by key order within the key, where rows carry no arrival number of their own."""
-    return df.withColumn("seq", F.row_number().over(Window.partitionBy("ECLI").orderBy(*order)))

@@ -41,10 +41,11 @@ RIGHTS = SourceSpec("ECHR", fixed.RIGHTS_FIELDS, {"judgementdate": lambda c: S.a
 SOURCES = {s.name: s for s in (DUTCH, DUTCH_OPINIONS, EU, RIGHTS)}
 
 
-def normalize(df: DataFrame, spec: SourceSpec) -> DataFrame:
+def normalize(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rename, prune and clean in one projection; rows without a key go.
 
     Of columns that share a canonical name the last non-empty one in the frame's order wins. Columns that the frame lacks are null.
+    ``keep``: columns that pass through as they are.
     """
     sources = dict(spec.fields)
     by_name: dict[str, list[Column]] = {n: [] for n in spec.names}
@@ -54,7 +55,7 @@ def normalize(df: DataFrame, spec: SourceSpec) -> DataFrame:
             cleaned = spec.tools.get(c, lambda x: x)(text)
             by_name[sources[c]].append(F.when(text.isNotNull(), F.struct(S.strip(cleaned).alias("v"))))
     picked = [(F.coalesce(*reversed(cols))["v"] if cols else F.lit(None).cast("string")).alias(n) for n, cols in by_name.items()]
-    out = df.select(*picked)
+    out = df.select(*picked, *[F.col(f"`{c}`") for c in keep])
     return out.where(F.col(spec.key).isNotNull() & (F.col(spec.key) != ""))
 
 

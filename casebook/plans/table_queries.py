@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casebook.functions import scalars as S
 from casebook.operators import items as I
 from casebook.operators import profile as P
+from casebook.operators import refresh as R
 from casebook.operators import tables as T
 from casebook.plans.registry import query
 from casebook.plans.roles import BASE, CASES, ECLI, RAW, table, view
@@ -244,3 +245,20 @@ def fulltext_documents(spark, sf_dir):
     t = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("item_id"), "lang")).alias("j"))
     d = t.select(F.from_json("j", strings(["item_id", "lang"])).alias("d")).select("d.*")
     return d.where(~F.col("item_id").startswith("8"))
+
+
+_LISTS = {
+    "citations_incoming": "'[{''target_ecli'': ''' || link || '''}, {''target_ecli'': ''a''}, {''x'': ''y''}]'",
+    "citations_outgoing": "'[]'",
+    "legislations_cited": "'[{''legal_provision'': ''' || coalesce(full_text, '') || '''}]'",
+}
+
+
+@query(f"""SELECT r.ecli, CASE WHEN b.full_text IS NOT NULL THEN b.link END AS link, 'a; ' || b.link AS incoming, '' AS outgoing, coalesce(b.full_text, '') AS provisions
+  FROM ({RAW}) r JOIN ({BASE}) b ON r.ecli = b.ecli""")
+def refresh_citations(spark, sf_dir):
+    base = view(spark, sf_dir, BASE).withColumnRenamed("ecli", "id")
+    cases = R.base_metadata(view(spark, sf_dir, RAW).select("ecli", "title", "summary"), base)
+    cited = view(spark, sf_dir, BASE).select("ecli", *[F.expr(e).alias(c) for c, e in _LISTS.items()])
+    out = R.citation_sets(R.enrich(cases, cited))
+    return out.select("ecli", "link", *[F.array_join(c, "; ").alias(n) for c, n in (("citations_incoming", "incoming"), ("citations_outgoing", "outgoing"), ("legislations_cited", "provisions"))])
