@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebook.llm.common import stretches
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 CHUNK = 1 << 16
 OVERLAP = 1 << 9
 #: Characters after a piece that must be in the chunk for its end to be certain: contractions reach this far.
 SEEN = 2
-CACHED = 300_000
+CACHED = 200_000
 
 
 def default_ranks() -> str:
@@ -111,8 +113,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(path, chunk, overlap)
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at, n in stretches(b.column(1)):
+                part = b.slice(at, n)
                 blobs = [one(x) for x in part.column(1).to_pylist()]
                 sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
                 offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
@@ -130,10 +132,12 @@ def decode(encoded: DataFrame, id_col: str = "id", ids_col: str = "ids", ranks:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _load(path)[1]
         for b in batches:
-            ids = b.column(1)
-            flat, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            raw = [b"".join(map(table.__getitem__, flat[p:q].tolist())) for p, q in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array(raw, pa.binary())], ["id", "ids", "raw"])
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                ids = part.column(1)
+                flat, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+                raw = [b"".join(map(table.__getitem__, flat[p:q].tolist())) for p, q in zip(offsets[:-1], offsets[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(raw, pa.binary())], ["id", "ids", "raw"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(run, "id long, ids array<int>, raw binary")

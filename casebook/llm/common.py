@@ -5,8 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from functools import reduce
+from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,5 +113,32 @@ def tiled(df: DataFrame, keys: list[str], tile: int, salt: Column) -> DataFrame:
     )
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds, F.lit(False))
+def stretches(text: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """``(start, length)`` of runs of rows that hold about ``most`` bytes of text, or one longer row: what a worker has in Python at a time.
+
+    Memory that the last run needed goes back to the system.
+    """
+    total = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(text):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        yield at, end - at
+        at = end
+    pa.default_memory_pool().release_unused()
+    _trim()
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    import ctypes
+
+    try:
+        lib = ctypes.CDLL("libc.so.6")
+        return lib if hasattr(lib, "malloc_trim") else None
+    except OSError:  # another C library
+        return None
+
+
+def _trim() -> None:
+    if lib := _libc():
+        lib.malloc_trim(0)

@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebook.llm.common import stretches
+
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN = 10.0
-CACHED = 500_000
+CACHED = 300_000
 #: Ends a word in the automaton's input; never part of a word, as texts are cut at it.
 STOP = "\x00"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -125,7 +127,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Counter(pieces or vocabulary(path))
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.count(t) for t in b.column(1).to_pylist()], pa.int64())], ["id", "n_tokens"])
+            for i, n in stretches(b.column(1)):
+                part = b.slice(i, n)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c.count(t) for t in part.column(1).to_pylist()], pa.int64())], ["id", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, n_tokens long")

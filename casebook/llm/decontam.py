@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import cut
+from casebook.llm.common import cut, stretches
 
 WINDOW = 13
 #: Bytes of text in a shard, but for a longer single document.
@@ -81,15 +81,8 @@ def build_index(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())), ("terms", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())), ("positions", pa.binary())])
         for b in batches:
-            ids, texts, size = [], [], 0
-            for i, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                ids.append(i)
-                texts.append(raw)
-                size += len(raw or b"")
-                if size >= shard:
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(pack(ids, texts), schema)], schema=schema)
-                    ids, texts, size = [], [], 0
-            if ids:
+            for at, n in stretches(b.column(1), shard):
+                ids, texts = b.column(0).slice(at, n).to_pylist(), b.column(1).slice(at, n).cast(pa.binary()).to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(pack(ids, texts), schema)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import fold
+from casebook.llm.common import fold, stretches
 from casebook.llm.fitting import per_class
 
 SAMPLE = 1500
@@ -30,8 +30,9 @@ BITS = 16
 #: In units of word scores, which are mean log-likelihoods of a word's n-grams times ``SCALE``.
 SWITCH = 12.0
 SCALE = 2.0
-BATCH_CHARS = 4_000_000
-CACHED = 300_000
+CACHED = 200_000
+#: New words that are scored at once.
+LEARN = 20_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: First code points of script ranges, and the script that each begins (0: common).
@@ -119,7 +120,7 @@ class Labeller:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.scores, self.letters = np.zeros((0, len(self.m["langs"]))), np.zeros(0, np.int64)
+        self.scores, self.letters = np.zeros((0, len(self.m["langs"])), np.float32), np.zeros(0, np.int64)
 
     def learn(self, words: list[str]) -> None:
         """Add scores of new words."""
@@ -133,7 +134,7 @@ class Labeller:
         letters = np.fromiter((len(w) if any(map(str.isalpha, w)) else 0 for w in words), np.int64, len(words))
         s[letters == 0] = 0
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
-        self.scores, self.letters = np.concatenate([self.scores, s]), np.concatenate([self.letters, letters])
+        self.scores, self.letters = np.concatenate([self.scores, s.astype(np.float32)]), np.concatenate([self.letters, letters])
 
     def paths(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language of every word of every text, the words' letters, and each text's first word."""
@@ -143,11 +144,13 @@ class Labeller:
             self.clear()
             new = set().union(*found)
         if new:
-            self.learn(sorted(new))
+            words = sorted(new)
+            for k in range(0, len(words), LEARN):
+                self.learn(words[k : k + LEARN])
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         first = np.r_[0, np.cumsum(sizes)]
         ids = np.fromiter((self.number[w] for f in found for w in f), np.int64, int(first[-1]))
-        s, prior = self.scores[ids], self.m["prior"]
+        s, prior = self.scores[ids].astype(np.float64), self.m["prior"]
         owner = np.repeat(np.arange(len(texts)), sizes)
         total = np.stack([np.bincount(owner, weights=c, minlength=len(texts)) for c in s.T], 1) + prior
         best = total.argmax(1)
@@ -226,16 +229,9 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, span)], ["id", "lang_pred", "score", "spans"])
 
         for b in batches:
-            ids, texts, size = [], [], 0
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids.append(i)
-                texts.append(t)
-                size += len(t or "")
-                if size >= BATCH_CHARS:
-                    yield label(ids, texts)
-                    ids, texts, size = [], [], 0
-            if ids:
-                yield label(ids, texts)
+            for at, n in stretches(b.column(1)):
+                part = b.slice(at, n)
+                yield label(part.column(0).to_pylist(), part.column(1).to_pylist())
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, kind)
@@ -252,18 +248,11 @@ def keep_identified(docs: DataFrame, model: dict, id_col: str = "doc_id", text_c
         for b in batches:
             if lab is None:
                 continue
-            texts = [t or "" for t in b.column(0).field(at).to_pylist()]
-            begin = 0
-            while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and size < BATCH_CHARS:
-                    size += len(texts[end])
-                    end += 1
-                _, letters, first = lab.paths(texts[begin:end])
+            text = b.column(0).field(at)
+            for i, n in stretches(text):
+                _, letters, first = lab.paths([t or "" for t in text.slice(i, n).to_pylist()])
                 total = np.r_[0, np.cumsum(letters)]
-                named = total[first[1:]] > total[first[:-1]]
-                yield b.slice(begin, end - begin).filter(pa.array(named))
-                begin = end
+                yield b.slice(i, n).filter(pa.array(total[first[1:]] > total[first[:-1]]))
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return rows.mapInArrow(run, rows.schema).select("row.*")

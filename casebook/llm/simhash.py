@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from casebook.llm.common import connected, cut, drop, tiled
+from casebook.llm.common import connected, cut, drop, stretches, tiled
 
 SHINGLE = 3
 RADIUS = 3
@@ -50,9 +50,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = b.column(1).field(at) if carry else b.column(1)
-            fps = np.array([fingerprint(x) for x in text.cast(pa.binary()).to_pylist()], np.uint64)
-            cols = [b.column(0), pa.array(fps.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(cols + [b.column(1)], ["id", "fp", "row"]) if carry else pa.RecordBatch.from_arrays(cols, ["id", "fp"])
+            for i, n in stretches(text):
+                fps = np.array([fingerprint(x) for x in text.slice(i, n).cast(pa.binary()).to_pylist()], np.uint64)
+                cols = [b.column(0).slice(i, n), pa.array(fps.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(cols + [b.column(1).slice(i, n)], ["id", "fp", "row"]) if carry else pa.RecordBatch.from_arrays(cols, ["id", "fp"])
 
     if not carry:
         rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

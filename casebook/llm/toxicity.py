@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import fold
+from casebook.llm.common import fold, stretches
 from casebook.llm.fitting import logistic, per_class, sigmoid
 
 SAMPLE = 4000
@@ -29,7 +29,7 @@ VOTERS = 256
 LEAST_Z = 3.0
 STEMS = (4, 5, 6)
 GOLD = 0.95
-CACHED = 400_000
+CACHED = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Patterns of abuse and shouting.
 PATTERNS = (r"\byou(?:'re| are) (?:an? |such |so )", r"\b(?:shut up|get lost|drop dead|go to hell)\b", r"!{2,}", r"\b(?:hate|despise) (?:you|them|him|her)\b")
@@ -161,8 +161,8 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         m = shared.value
         v = Voters(m["lexicon"])
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at, n in stretches(b.column(1)):
+                part = b.slice(at, n)
                 s = np.full(part.num_rows, m["flat"]) if m["weights"] is None else sigmoid(v.features(part.column(1).to_pylist()) @ m["weights"])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64())], ["id", "score"])
 
