@@ -78,7 +78,7 @@ def legal_cases(spark, sf_dir):
 
 @query(_LINKS)
 def case_law_links(spark, sf_dir):
-    t = _triples(spark, sf_dir)
+    t = _triples(spark, sf_dir).persist()  # read by several jobs; spills to disk
     return L.case_laws(t, L.cases(t), L.laws(t))
 
 
@@ -98,7 +98,7 @@ def law_alias_nocase(spark, sf_dir):
 
 @query("SELECT 'case_id' AS reference, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'law_id', 0")
 def fk_violations(spark, sf_dir):
-    t = _triples(spark, sf_dir)
+    t = _triples(spark, sf_dir).persist()  # read by several jobs; spills to disk
     law, case = L.laws(t), L.cases(t)
     bridge = L.case_laws(t, case, law)
     count = lambda c, p: L.orphans(bridge, c, p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("reference"), "n")
@@ -107,7 +107,7 @@ def fk_violations(spark, sf_dir):
 
 @query("SELECT * FROM (VALUES ('law_type', CAST(0 AS BIGINT)), ('law_lido_id', 0), ('law_jc_id', 0), ('case_law_source', 0), ('alias_source', 0), ('alias', 0)) AS t(rule, n)")
 def rule_violations(spark, sf_dir):
-    t = _triples(spark, sf_dir)
+    t = _triples(spark, sf_dir).persist()  # read by several jobs; spills to disk
     law = L.laws(t)
     return L.violations(law, L.case_laws(t, L.cases(t), law), _aliases(spark, sf_dir))
 
