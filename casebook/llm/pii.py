@@ -19,7 +19,9 @@ ROUNDS = 10
 KEY = "casebook"
 
 _B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
+_TOP = r"[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
+#: The host ends with the last label that can be a top level, so a full stop or a number may follow.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:(?:\.(?!" + _TOP + r")[A-Za-z0-9-]++)*+\." + _TOP + ")++"
 SECRET = _B + r"(?i:token|secret|passwd|password|api[_-]?key)\s{0,3}[=:]\s{0,3}\"[^\"\s]{8,256}\""
 IBAN = _B + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _E
 DATE = r"(?<![\p{L}\p{N}_/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\p{L}\p{N}_/-]|\.[0-9])"

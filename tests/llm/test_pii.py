@@ -83,6 +83,14 @@ def test_kinds_and_validity(spark):
     assert int(number) % 97 == 1
 
 
+def test_email_before_punctuation(spark):
+    mail = feistel("john@mail.example", "email") + ".com"
+    around = ["write to {}. Then", "write to {}.", "{}.5 or", "({}).", "{}, and", "{}...", "<{}>", "{}. " + "a." * 50_000]
+    for form, (text, found) in zip(around, run(spark, [a.replace("{}", "john@mail.example.com") for a in around])):
+        assert text == form.replace("{}", mail) and found == [("email", mail)], form
+    assert run(spark, ["x@" + "a." * 50_000 + "5", "x@y.c"]) == [("x@" + "a." * 50_000 + "5", []), ("x@y.c", [])]
+
+
 def test_a_permutation(spark):
     ids = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"))
     assert ids.select(pii.feistel(F.col("s"), F.lit("k"), "t").alias("p")).distinct().count() == 1000
