@@ -23,12 +23,21 @@ _TOP = r"[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
 #: The host ends with the last label that can be a top level, so a full stop or a number may follow.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:(?:\.(?!" + _TOP + r")[A-Za-z0-9-]++)*+\." + _TOP + ")++"
 SECRET = _B + r"(?i:token|secret|passwd|password|api[_-]?key)\s{0,3}[=:]\s{0,3}\"[^\"\s]{8,256}\""
-IBAN = _B + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _E
+#: Account numbers by length, then what no country of the list uses.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN = _B + "(?:" + "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" + _E for n, c in IBAN_LENGTHS.items()) + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _E + ")"
 DATE = r"(?<![\p{L}\p{N}_/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\p{L}\p{N}_/-]|\.[0-9])"
 IP = r"(?<![\p{L}\p{N}_.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\p{L}\p{N}_]|\.[0-9])"
-PHONE = r"(?<![\p{L}\p{N}_+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}([.-])[0-9]{3}\1[0-9]{4})" + _E
+#: Eleven digits after +1 and +7; an unbroken number ends before a year.
+PHONE = (
+    r"(?<![\p{L}\p{N}_+])(?:\+[17][ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{2}[ .-]?[0-9]{2}" + _E
+    + r"|\+[0-9]{8,15}(?=[ .-](?:19|20)[0-9]{2}" + _E + r")|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
+    + r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4})" + _E
+)
 SOCIAL = r"(?<![\p{L}\p{N}_-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}_-])"
-CARD = r"(?<![\p{L}\p{N}_-])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}_-])"
+_GROUP = r"[0-9]++(?![\p{L}\p{N}_]|-[\p{L}_])"
+#: A run of groups of digits, up to where another kind of value begins; ``readings`` finds the cards in it.
+CARD = r"(?<![\p{L}\p{N}_-])(?=(?:[0-9][ -]?){13})" + _GROUP + f"(?:(?:-(?!{IP})| (?!{'|'.join((EMAIL, DATE, IP, PHONE, SOCIAL))})){_GROUP})*+"
 PATTERN = "|".join((EMAIL, SECRET, DATE, IP, PHONE, SOCIAL, CARD, IBAN))
 
 _HEX = "0123456789abcdef"
@@ -120,6 +129,44 @@ def card(m: Column, key: Column) -> Column:
     return _let(_digits(m), lambda d: F.when(F.pmod(_luhn_sum(d, False), F.lit(10)) == 0, _let(permuted(d), lambda p: _laid_out(m, p))))
 
 
+def readings(run: Column) -> Column:
+    """The pieces of a run of digit groups, in order: array of struct(text, card).
+
+    A card is one or more whole groups of 13 to 19 digits with a right Luhn sum. From the left, a group that is a card by itself comes first,
+    then the length usual for the first digits, then the longest; a reading over several groups takes in no group that is a card by itself.
+    """
+    right = lambda d: F.length(d).between(13, 19) & (F.pmod(_luhn_sum(d, False), F.lit(10)) == 0)
+    piece = lambda text, card: F.struct(text.alias("text"), F.lit(card).alias("card"))
+
+    def taken(groups: Column, i: Column) -> Column:
+        """How many groups from ``i`` on are a card; 0 if none."""
+        joined = lambda k: F.array_join(F.transform(F.slice(groups, i + 1, k), lambda g: g["d"]), "")
+        clear = lambda k: ~F.exists(F.slice(groups, i + 1, k), lambda g: g["own"])
+        sized = F.filter(F.sequence(F.lit(2), F.least(F.lit(19), F.size(groups) - i)), lambda k: F.length(joined(k)).between(13, 19))
+        fits = F.when(F.size(groups) - i >= 2, F.filter(sized, lambda k: clear(k) & right(joined(k)))).otherwise(F.array().cast("array<int>"))
+
+        def best(ks: Column) -> Column:
+            usual = F.filter(ks, lambda k: _let(joined(k), lambda d: F.length(d) == F.when(d.rlike("^3[47]"), 15).when(d.rlike("^3[0689]"), 14).otherwise(16)))
+            return F.coalesce(F.get(usual, 0), F.array_max(ks), F.lit(0))
+
+        return F.when(F.get(groups, i)["own"], 1).otherwise(_let(fits, best))
+
+    def step(tokens: Column, groups: Column):
+        def go(a: Column, i: Column) -> Column:
+            def add(k: Column) -> Column:
+                text = F.array_join(F.slice(tokens, i + 1, F.greatest(k, F.lit(1))), "")
+                whole = F.array(piece(F.regexp_replace(text, "[ -]$", ""), True), piece(F.regexp_extract(text, "[ -]?$", 0), False))
+                return F.struct((F.greatest(k, F.lit(1)) - 1).cast("int").alias("skip"), F.concat(a["out"], F.when(k > 0, whole).otherwise(F.array(piece(text, False)))).alias("out"))
+
+            return F.when(a["skip"] > 0, F.struct((a["skip"] - 1).cast("int").alias("skip"), a["out"].alias("out"))).otherwise(_let(taken(groups, i), add))
+
+        start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<struct<text:string,card:boolean>>").alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(tokens) - 1), start, go, lambda a: a["out"])
+
+    group = lambda t: _let(_digits(t), lambda d: F.struct(d.alias("d"), right(d).alias("own")))
+    return _let(F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), 0), lambda ts: _let(F.transform(ts, group), lambda gs: step(ts, gs)))
+
+
 def phone(m: Column, key: Column) -> Column:
     """The country code stays; null unless there are 8 to 15 digits."""
 
@@ -210,7 +257,7 @@ def secret(m: Column, key: Column) -> Column:
 
 
 def pseudonym(m: Column, key: Column) -> Column:
-    """``struct(kind, value)`` for one match; ``kind`` is null and the value unchanged where validation fails."""
+    """An array of ``struct(kind, value)`` for one match; ``kind`` is null and the value unchanged where validation fails."""
     day, dotted = date(m, key)
     day = F.when(dotted & ~F.contains(m, F.lit("-")), F.replace(day, F.lit("/"), F.lit("."))).otherwise(day)
     kinds = (
@@ -221,29 +268,30 @@ def pseudonym(m: Column, key: Column) -> Column:
         ("date", m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})$"), day),
         ("social", m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), social(m, key)),
         ("phone", m.rlike(r"^(\+|\(|[0-9]{3}([.-])[0-9]{3}\2[0-9]{4}$)"), phone(m, key)),
-        ("card", F.lit(True), card(m, key)),
     )
     kind = value = None
     for name, test, made in kinds:
         kind = F.when(test, F.lit(name)) if kind is None else kind.when(test, F.lit(name))
         value = F.when(test, made) if value is None else value.when(test, made)
-    return F.get(F.transform(F.array(value), lambda v: F.struct(F.when(v.isNotNull(), kind).alias("kind"), F.coalesce(v, m).alias("value"))), 0)
+    one = _let(value, lambda v: F.struct(F.when(v.isNotNull(), kind).alias("kind"), F.coalesce(v, m).alias("value")))
+    cards = F.transform(readings(m), lambda p: F.struct(F.when(p["card"], F.lit("card")).alias("kind"), F.when(p["card"], card(p["text"], key)).otherwise(p["text"]).alias("value")))
+    return F.when(kind.isNull(), cards).otherwise(F.array(one))
 
 
 def pseudonymize(docs: DataFrame, text_col: str = "text", found_col: str = "found", key: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and ``found_col``: an array of struct(kind, value), in order of the text."""
     key = key or docs.sparkSession.conf.get("spark.casebook.pii.key", KEY)
     text, k = F.col(text_col).cast("string"), F.lit(key)
-    none = F.array().cast("array<struct<kind:string,value:string>>")
+    none = F.array().cast("array<array<struct<kind:string,value:string>>>")
     hits = F.when(text.rlike("[0-9@\"]"), F.transform(F.regexp_extract_all(text, F.lit(PATTERN), 0), lambda m: pseudonym(m, k))).otherwise(none)
     taken = {c.lower() for c in docs.columns}
     was, got = (next(n for k in range(len(taken) + 1) if (n := stem + "_" * k) not in taken) for stem in ("text_was", "pii_got"))
     names = [F.col(f"`{c}`") for c in docs.columns if c != found_col]
     made = docs.select(*names, text.alias(was), F.coalesce(hits, none).alias(got))
     gaps = F.split(was, PATTERN, -1)
-    filled = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(got, i)["value"], F.lit("")))), "")
+    filled = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.array_join(F.coalesce(F.transform(F.get(got, i), lambda h: h["value"]), F.array().cast("array<string>")), ""))), "")
     new = F.when(F.size(got) > 0, filled).otherwise(F.col(was)).alias(text_col)
-    found = F.filter(got, lambda h: h["kind"].isNotNull()).alias(found_col)
+    found = F.filter(F.flatten(got), lambda h: h["kind"].isNotNull()).alias(found_col)
     return made.select(*[new if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != found_col], found)
 
 

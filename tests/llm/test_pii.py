@@ -91,6 +91,30 @@ def test_email_before_punctuation(spark):
     assert run(spark, ["x@" + "a." * 50_000 + "5", "x@y.c"]) == [("x@" + "a." * 50_000 + "5", []), ("x@y.c", [])]
 
 
+def carded(number):
+    body = feistel(number[:-1], "card")
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def test_values_before_dates_codes_and_words(spark):
+    visa, amex, short = "4111111111111111", "378282246310005", "4222222222222"
+    spaced = lambda s: " ".join(s[k : k + 4] for k in (0, 4, 8, 12))
+    new = feistel("4155550100", "phone")
+    pairs = [
+        (f"{visa} 12/25", f"{carded(visa)} 12/25"), (f"{spaced(visa)} 123", f"{spaced(carded(visa))} 123"), (f"no 12 {visa}-12.", f"no 12 {carded(visa)}-12."),
+        (f"{amex} 2024 x", f"{carded(amex)} 2024 x"), (f"{visa} {amex} 1", f"{carded(visa)} {carded(amex)} 1"), (f"1234 5678 9012 {spaced(visa)} 5555", f"1234 5678 9012 {spaced(carded(visa))} 5555"),
+        (f"{short} 01.02.2003", f"{carded(short)} {day(date(2003, 2, 1)):%d.%m.%Y}"), (f"{visa} 12ab", f"{carded(visa)} 12ab"),
+        ("+14155550100 2024", f"+1{new} 2024"), ("+1 415 555 0100 123", f"+1 {new[:3]} {new[3:6]} {new[6:]} 123"), ("+49301234567 2024", f"+49{feistel('301234567', 'phone')} 2024"),
+    ]
+    for (source, want), (text, found) in zip(pairs, run(spark, [s for s, _ in pairs])):
+        assert text == want and found, source
+    tails = ("", " BIC X", " 12 2024", " OK", " COBADEFFXXX")
+    got = run(spark, ["DE89370400440532013000" + t for t in tails])
+    assert got == [(got[0][0] + t, [("iban", got[0][0])]) for t in tails] and got[0][0] != "DE89370400440532013000"
+    many = "1 2 3 4 5 6 7 8 9 0 " * 2_000
+    assert run(spark, [many + visa])[0][0].endswith(" " + carded(visa))
+
+
 def test_a_permutation(spark):
     ids = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"))
     assert ids.select(pii.feistel(F.col("s"), F.lit("k"), "t").alias("p")).distinct().count() == 1000
