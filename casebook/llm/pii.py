@@ -22,7 +22,6 @@ _B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 _TOP = r"[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
 #: The host ends with the last label that can be a top level, so a full stop or a number may follow.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:(?:\.(?!" + _TOP + r")[A-Za-z0-9-]++)*+\." + _TOP + ")++"
-SECRET = _B + r"(?i:token|secret|passwd|password|api[_-]?key)\s{0,3}[=:]\s{0,3}\"[^\"\s]{8,256}\""
 #: Account numbers by length, then what no country of the list uses.
 IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 IBAN = _B + "(?:" + "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" + _E for n, c in IBAN_LENGTHS.items()) + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _E + ")"
@@ -38,6 +37,12 @@ SOCIAL = r"(?<![\p{L}\p{N}_-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}_-])"
 _GROUP = r"[0-9]++(?![\p{L}\p{N}_]|-[\p{L}_])"
 #: A run of groups of digits, up to where another kind of value begins; ``readings`` finds the cards in it.
 CARD = r"(?<![\p{L}\p{N}_-])(?=(?:[0-9][ -]?){13})" + _GROUP + f"(?:(?:-(?!{IP})| (?!{'|'.join((EMAIL, DATE, IP, PHONE, SOCIAL))})){_GROUP})*+"
+_NAMED = r"(?i:token|secret|passwd|password|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}"
+#: In quotes, or up to white space or a quote but for punctuation at the end, where no other kind of value stands; 8 characters at least.
+SECRET = (
+    _B + _NAMED + r"(?:\"[^\"\s]{8,}+\"|'[^'\s]{8,}+'"
+    + f"|(?!{'|'.join((EMAIL, DATE, IP, PHONE, SOCIAL))})" + r"(?=[^\s\"']{7,}?[^\s\"',;.:!?()\[\]{}<>])(?:[,;.:!?()\[\]{}<>]*+[^\s\"',;.:!?()\[\]{}<>])++)"
+)
 PATTERN = "|".join((EMAIL, SECRET, DATE, IP, PHONE, SOCIAL, CARD, IBAN))
 
 _HEX = "0123456789abcdef"
@@ -81,11 +86,15 @@ def feistel(s: Column, key: Column, kind: str, hexed: bool = False) -> Column:
     """A keyed permutation of the strings with the same classes at the same places."""
 
     def stepped(left: Column, right: Column, i: Column) -> Column:
-        def move(c: Column, k: Column) -> Column:
-            pad = _mix(key, kind, i, F.floor(k / 16), F.length(left), right)
-            return _shift(c, _number(pad, (F.pmod(k, F.lit(16)) * 4 + 1).cast("int"), F.lit(4)), hexed)
+        def moved(by: Column) -> Column:
+            def move(c: Column, k: Column) -> Column:
+                pad = _mix(key, kind, i, F.floor(k / 16), F.length(left), by)
+                return _shift(c, _number(pad, (F.pmod(k, F.lit(16)) * 4 + 1).cast("int"), F.lit(4)), hexed)
+
+            return F.array_join(F.transform(_chars(left), move), "")
 
-        return F.array_join(F.transform(_chars(left), move), "")
+        # long halves count by their digest, so that the work stays in proportion to the length
+        return _let(F.when(F.length(right) > 128, F.sha2(right.cast("binary"), 256)).otherwise(right), moved)
 
     def whole(v: Column) -> Column:
         half = F.floor(F.length(v) / 2).cast("int")
@@ -251,9 +260,11 @@ def email(m: Column, key: Column) -> Column:
 
 
 def secret(m: Column, key: Column) -> Column:
-    """What stands between the quotes."""
-    head, body = F.regexp_extract(m, '^[^"]*"', 0), F.regexp_extract(m, '"([^"]*)"', 1)
-    return _let(body, lambda b: F.concat(head, F.when(b.rlike("^[0-9a-f]+$"), feistel(b, key, "secret", hexed=True)).otherwise(feistel(b, key, "secret")), F.lit('"')))
+    """What stands between the quotes, or after the sign where there are none."""
+    head = F.regexp_extract(m, f"^{_NAMED}[\"']?", 0)
+    tail = F.when(head.rlike("[=:]\\s*[\"']$"), F.substring(head, -1, 1)).otherwise("")
+    body = F.substring(m, F.length(head) + 1, F.length(m) - F.length(head) - F.length(tail))
+    return _let(body, lambda b: F.concat(head, F.when(b.rlike("^[0-9a-f]+$"), feistel(b, key, "secret", hexed=True)).otherwise(feistel(b, key, "secret")), tail))
 
 
 def pseudonym(m: Column, key: Column) -> Column:
@@ -261,8 +272,8 @@ def pseudonym(m: Column, key: Column) -> Column:
     day, dotted = date(m, key)
     day = F.when(dotted & ~F.contains(m, F.lit("-")), F.replace(day, F.lit("/"), F.lit("."))).otherwise(day)
     kinds = (
-        ("email", F.contains(m, F.lit("@")) & ~F.contains(m, F.lit('"')), email(m, key)),
-        ("secret", F.contains(m, F.lit('"')), secret(m, key)),
+        ("secret", m.rlike(f"^{_NAMED}"), secret(m, key)),
+        ("email", F.contains(m, F.lit("@")), email(m, key)),
         ("iban", m.rlike("^[A-Z]"), iban(m, key)),
         ("ip", m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), address(m, key)),
         ("date", m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})$"), day),
@@ -283,7 +294,7 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", found_col: str = "foun
     key = key or docs.sparkSession.conf.get("spark.casebook.pii.key", KEY)
     text, k = F.col(text_col).cast("string"), F.lit(key)
     none = F.array().cast("array<array<struct<kind:string,value:string>>>")
-    hits = F.when(text.rlike("[0-9@\"]"), F.transform(F.regexp_extract_all(text, F.lit(PATTERN), 0), lambda m: pseudonym(m, k))).otherwise(none)
+    hits = F.when(text.rlike("[0-9@=:]"), F.transform(F.regexp_extract_all(text, F.lit(PATTERN), 0), lambda m: pseudonym(m, k))).otherwise(none)
     taken = {c.lower() for c in docs.columns}
     was, got = (next(n for k in range(len(taken) + 1) if (n := stem + "_" * k) not in taken) for stem in ("text_was", "pii_got"))
     names = [F.col(f"`{c}`") for c in docs.columns if c != found_col]

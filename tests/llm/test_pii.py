@@ -115,6 +115,32 @@ def test_values_before_dates_codes_and_words(spark):
     assert run(spark, [many + visa])[0][0].endswith(" " + carded(visa))
 
 
+def long_feistel(s, hexed=False):
+    """As ``feistel`` for halves over 128 characters."""
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest() if len(t) > 128 else t
+    code = lambda c: next(((f, n) for f, n in pii.CLASSES if f <= ord(c) < f + n), None)
+    left, right = s[: len(s) // 2], s[len(s) // 2 :]
+    for i in range(1, pii.ROUNDS + 1):
+        by = [int(mix("secret", i, k // 16, len(left), digest(right))[k % 16 * 4 :][:4], 16) for k in range(len(left))]
+        move = lambda c, n: HEX[(HEX.index(c) + n) % 16] if hexed else chr((ord(c) - code(c)[0] + n) % code(c)[1] + code(c)[0]) if code(c) else c
+        left, right = right, "".join(map(move, left, by))
+    return left + right
+
+
+def test_secrets_long_and_unquoted(spark):
+    signed, hexes = ".".join(("eyJhbGciOi" * 4, "Zm9vYmFyX2-1" * 20, "Qz9_kLm3" * 6)), "0a9f" * 500
+    new = lambda s: feistel(s, "secret")
+    pairs = [
+        (f'token = "{signed}"', f'token = "{long_feistel(signed)}"'), (f"api_key='{hexes}' x", f"api_key='{long_feistel(hexes, True)}' x"),
+        ("password: hunter2abc", f"password: {new('hunter2abc')}"), ("(Password=hunter2abc), then", f"(Password={new('hunter2abc')}), then"),
+        ("secret: ab.cd-ef,gh. End", f"secret: {new('ab.cd-ef,gh')}. End"), ('{"api_key": "hunter2abc"}', f'{{"api_key": "{new("hunter2abc")}"}}'),
+    ]
+    got = run(spark, [s for s, _ in pairs] + ["password: john@mail.example.com", "token: short.", 'secret = "no end', 'token = "' + "aB3" * 100_000 + '"'])
+    for (source, want), (text, found) in zip(pairs, got):
+        assert text == want and [k for k, _ in found] == ["secret"], source
+    assert [[k for k, _ in f] for _, f in got[len(pairs) :]] == [["email"], [], [], ["secret"]]
+
+
 def test_a_permutation(spark):
     ids = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"))
     assert ids.select(pii.feistel(F.col("s"), F.lit("k"), "t").alias("p")).distinct().count() == 1000
