@@ -211,9 +211,9 @@ _ITEMS = """SELECT 'C' || CAST(o_custkey AS STRING) AS "ECLI", o_orderkey AS seq
   SELECT "ECLI" AS pk, 'DATA' AS "ItemType", 'RS_DEC_' || date_decision AS "SourceDocDate", title AS value, array_to_string(list_sort(string_split(referenced_legislation_titles, '; ')), '; ') AS refs, domains AS doms FROM r WHERE rn = 1
   UNION ALL SELECT "ECLI", 'DOM_' || domains, 'RS_DEC_' || date_decision, domains, NULL, NULL FROM d WHERE rn = 1""")
 def items_upsert(spark, sf_dir):
-    all_items = I.fan_out(view(spark, sf_dir, _ITEMS))
-    store = I.upsert(None, all_items.where("seq % 2 = 0 and false"))
-    out = I.upsert(store, all_items)
+    all_items = I.fan_out(view(spark, sf_dir, _ITEMS)).crossJoin(F.broadcast(table(spark, sf_dir, "orders").agg(F.avg("o_orderkey").alias("middle"))))
+    earlier, later = (all_items.where(c).drop("middle") for c in ("seq <= middle", "seq > middle"))
+    out = I.upsert(I.upsert(None, earlier), later)
     get = lambda c, k: F.try_element_at(c, F.lit(k))
     return out.select("pk", "ItemType", "SourceDocDate", F.coalesce(get("attrs", "domain"), get("attrs", "title")).alias("value"), F.array_join(get("sets", "referenced_legislation_titles"), "; ").alias("refs"), F.array_join(get("sets", "domains"), "; ").alias("doms"))
 

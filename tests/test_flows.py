@@ -44,5 +44,16 @@ def test_against_oracle(spark, sf, name):
     assert sorted(str(tuple(r)) for r in df.select(*cols).collect()) == want
 
 
+def test_items_upsert_merges_into_a_filled_store(spark, sf, monkeypatch):
+    from casebook.plans import table_queries as Q
+
+    seen, upsert = [], Q.I.upsert
+    monkeypatch.setattr(Q.I, "upsert", lambda store, batch: seen.append((store, batch)) or upsert(store, batch))
+    Q.items_upsert(spark, sf)
+    keys = lambda df: {tuple(r) for r in df.select("pk", "ItemType").collect()}
+    old, new = map(keys, next(pair for pair in seen if pair[0] is not None))
+    assert old - new and old & new and new - old
+
+
 def test_every_query_is_named_in_the_oracle():
     assert set(SQL) <= set(QUERIES) and len(QUERIES) > 75
