@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,13 +20,18 @@ _MADE: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir`` where set, a temp folder of this machine otherwise."""
+    """Folder that driver and executors share: ``spark.checkpoint.dir``; where it is unset, a temp folder in local mode, an error otherwise."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
-        _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="casebook-")
+        path = tempfile.mkdtemp(prefix="casebook-")
+        atexit.register(shutil.rmtree, path, True)
+        _LOCAL[app] = "file://" + path
     return _LOCAL[app]
 
 
@@ -76,18 +82,22 @@ def fold(doc_id: Column, k: int) -> Column:
 def connected(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)`` with root the smallest node reachable.
 
-    Min-label propagation with pointer jumping; labels travel as (node, label) rows into a combining ``min``, so a
-    hub of any degree costs one row a task, and the edge join is a plain equi-join that adaptive execution may split.
+    Each round every node takes the smallest label two steps up that it or a neighbour has, and hands it on to its own label, too, so that
+    whole trees are hooked at once; the rounds grow with the logarithm of a path's length. Labels travel into a combining ``min``, so a
+    hub of any degree costs one row a task, and the joins are plain equi-joins that adaptive execution may split.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = cut(both.where("a <> b").distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
+    none = F.lit(None).cast("long")
     while True:
-        told = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "root")
-        low = labels.select("node", "root", F.col("root").alias("was")).unionByName(told.withColumn("was", F.lit(None).cast("long")))
-        low = low.groupBy("node").agg(F.min("root").alias("root"), F.min("was").alias("was"))
         up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        new = cut(low.join(up, "root").select("node", F.least("root", "top").alias("root"), "was"))
+        far = labels.join(up, "root").select("node", "root", "top")
+        told = both.join(far.select(F.col("node").alias("b"), F.col("top").alias("low")), "b").select(F.col("a").alias("node"), none.alias("root"), none.alias("top"), "low")
+        own = far.withColumn("low", none).unionByName(told).groupBy("node").agg(F.max("root").alias("root"), F.max("top").alias("top"), F.min("low").alias("low"))
+        mine = F.struct("node", F.least("low", "top").alias("root"), F.col("root").alias("was"))
+        hooked = F.struct(F.col("root").alias("node"), F.col("low").alias("root"), none.alias("was"))
+        new = cut(own.select(F.inline(F.array(mine, hooked))).groupBy("node").agg(F.min("root").alias("root"), F.max("was").alias("was")))
         changed = not new.where("root <> was").isEmpty()
         drop(labels)
         labels = new

@@ -13,15 +13,16 @@ def share(key: Column) -> Column:
 
 
 def per_class(rows: DataFrame, label: str, size: int) -> tuple[DataFrame, dict]:
-    """About ``size`` rows of each value of ``label`` in ``rows(id, label, ...)``, by a hash of the id, and each value's sampling rate."""
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(1000).collect()}
-    rates = {k: min(1.0, size / n) for k, n in counts.items()}
+    """About ``size`` rows of each value of ``label`` in ``rows(id, label, ...)``, by a hash of the id, and each value's sampling rate.
+
+    The driver learns every value and its rate; rows without a value aren't picked.
+    """
+    known = rows.where(F.col(label).isNotNull()).groupBy(label).count()
+    rates = {r[0]: min(1.0, size / r[1]) for r in known.collect()}
     if not rates:
         return rows.where("false"), rates
-    keep = F.lit(False)
-    for k, r in rates.items():
-        keep = keep | ((F.col(label) == F.lit(k)) & (share(F.col("id")) < r))
-    return rows.where(keep), rates
+    every = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])
+    return rows.where(share(F.col("id")) < F.try_element_at(every, F.col(label))), rates
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -27,6 +27,10 @@ from casebook.llm.fitting import per_class
 
 SAMPLE = 1500
 BITS = 16
+#: Numbers in a model at most, as a power of two: beyond 256 languages their n-grams share fewer buckets.
+MODEL_BITS = 24
+#: Prior of the state without a language in ``keep_identified``.
+UNKNOWN = 0.01
 #: In units of word scores, which are mean log-likelihoods of a word's n-grams times ``SCALE``.
 SWITCH = 12.0
 SCALE = 2.0
@@ -42,7 +46,7 @@ _FIRST = np.array([a for a, _ in RANGES], np.int64)
 _SCRIPT = np.array([b for _, b in RANGES], np.int8)
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def grams(words: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """``(word index, bucket)`` of the 2-, 3- and 4-grams of words with a mark on either side."""
     code = np.frombuffer(("\n" + "\n".join(words) + "\n").encode("utf-32-le"), np.uint32).astype(np.uint64)
     edge = code == 10
@@ -56,7 +60,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             ok &= ~edge[k : k + len(h)]
         mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n)
         at.append(owner[: len(h)][ok])
-        bucket.append(((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)).astype(np.int64)[ok])
+        bucket.append(((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int64)[ok])
     return np.concatenate(at), np.concatenate(bucket)
 
 
@@ -67,7 +71,7 @@ def scripts(words: list[str]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = SAMPLE) -> dict:
-    """Log-likelihoods of n-gram buckets and the scripts of each language; counted on the executors, 2**BITS numbers a language and task."""
+    """Log-likelihoods of n-gram buckets and the scripts of each language; counted on the executors, at most 2**MODEL_BITS numbers a task."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id"), 3) != 1))
     picked, rates = per_class(rows, "lang", size)
@@ -75,28 +79,29 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not langs:
         return {"langs": []}
     number = {k: i for i, k in enumerate(langs)}
+    bits = min(BITS, MODEL_BITS - (len(langs) - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(langs), 1 << BITS))
+        total = np.zeros((len(langs), 1 << bits), np.float32)
         seen = np.zeros((len(langs), SCRIPTS))
         for b in batches:
             for t, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 c = Counter(_WORD.findall(t.lower()))
                 if c:
                     words, n, k = list(c), np.fromiter(c.values(), float), number[name]
-                    at, bucket = grams(words)
-                    total[k] += np.bincount(bucket, weights=n[at], minlength=1 << BITS)
+                    at, bucket = grams(words, bits)
+                    total[k] += np.bincount(bucket, weights=n[at], minlength=1 << bits)
                     seen[k] += np.bincount(scripts(words), weights=n, minlength=SCRIPTS)
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary()), pa.array([seen.astype(np.float32).tobytes()], pa.binary())], ["total", "seen"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([seen.astype(np.float32).tobytes()], pa.binary())], ["total", "seen"])
 
-    total, seen = np.zeros((len(langs), 1 << BITS)), np.zeros((len(langs), SCRIPTS))
+    total, seen = np.zeros((len(langs), 1 << bits), np.float32), np.zeros((len(langs), SCRIPTS))
     for r in picked.select("text", "lang").repartition(4).mapInArrow(run, "total binary, seen binary").toLocalIterator():  # a bounded sample
         total += np.frombuffer(r.total, np.float32).reshape(total.shape)
         seen += np.frombuffer(r.seen, np.float32).reshape(seen.shape)
     smooth = total + 0.5
     usual = np.log(smooth / smooth.sum(1, keepdims=True))
     prior = np.array([(total[i].sum() + 1) / rates[k] for i, k in enumerate(langs)])
-    return {"langs": langs, "logp": usual.T.astype(np.float32).copy(), "prior": np.log(prior / prior.sum()), "scripts": seen >= 0.01 * np.maximum(seen.sum(1, keepdims=True), 1)}
+    return {"langs": langs, "logp": usual.T.astype(np.float32).copy(), "bits": bits, "prior": np.log(prior / prior.sum()), "scripts": seen >= 0.01 * np.maximum(seen.sum(1, keepdims=True), 1)}
 
 
 def best_run(gain: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -111,6 +116,22 @@ def best_run(gain: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.maximum.reduceat(level - np.minimum.accumulate(level), begin)
 
 
+def room(model: dict) -> int:
+    """Bytes of text that are labelled at once: fewer where each word has many scores."""
+    return max(1 << 14, (8 << 20) // max(8, len(model["langs"])))
+
+
+def with_unknown(model: dict) -> dict:
+    """The model with one more state, the last: text of no learned language, in which all buckets are alike and every script is at home."""
+    if not model["langs"]:
+        return model
+    flat = np.full((len(model["logp"]), 1), -model["bits"] * np.log(2), np.float32)
+    return model | {
+        "langs": [*model["langs"], None], "logp": np.concatenate([model["logp"], flat], 1), "prior": np.r_[model["prior"] + np.log1p(-UNKNOWN), np.log(UNKNOWN)],
+        "scripts": np.concatenate([model["scripts"], np.ones((1, SCRIPTS), bool)]),
+    }
+
+
 class Labeller:
     """Spans of a batch of texts under a fitted model."""
 
@@ -124,7 +145,7 @@ class Labeller:
 
     def learn(self, words: list[str]) -> None:
         """Add scores of new words."""
-        at, bucket = grams(words)
+        at, bucket = grams(words, self.m["bits"])
         n = np.bincount(at, minlength=len(words))
         s = np.stack([np.bincount(at, weights=c, minlength=len(words)) for c in self.m["logp"][bucket].T.astype(np.float64)], 1)
         s *= SCALE / n[:, None]
@@ -229,7 +250,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, span)], ["id", "lang_pred", "score", "spans"])
 
         for b in batches:
-            for at, n in stretches(b.column(1)):
+            for at, n in stretches(b.column(1), room(m)):
                 part = b.slice(at, n)
                 yield label(part.column(0).to_pylist(), part.column(1).to_pylist())
 
@@ -238,8 +259,12 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language, as they are: ``und`` rows go."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """The rows of ``docs`` whose language the model knows, as they are.
+
+    The search has one more state for text that no learned language explains better than chance. Rows without a letter go, and rows most
+    of whose letters are labelled with that state; mixed texts of learned languages stay.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(with_unknown(model))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,10 +274,12 @@ def keep_identified(docs: DataFrame, model: dict, id_col: str = "doc_id", text_c
             if lab is None:
                 continue
             text = b.column(0).field(at)
-            for i, n in stretches(text):
-                _, letters, first = lab.paths([t or "" for t in text.slice(i, n).to_pylist()])
-                total = np.r_[0, np.cumsum(letters)]
-                yield b.slice(i, n).filter(pa.array(total[first[1:]] > total[first[:-1]]))
+            for i, n in stretches(text, room(m)):
+                path, letters, first = lab.paths([t or "" for t in text.slice(i, n).to_pylist()])
+                known = np.where(path < len(m["langs"]) - 1, letters, -letters)
+                total, every = np.r_[0, np.cumsum(known)], np.r_[0, np.cumsum(letters)]
+                keep = (total[first[1:]] >= total[first[:-1]]) & (every[first[1:]] > every[first[:-1]])
+                yield b.slice(i, n).filter(pa.array(keep))
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return rows.mapInArrow(run, rows.schema).select("row.*")

@@ -5,18 +5,22 @@ network over their own format: digits stay digits, letters stay letters of their
 numbers right check digits, dates stay dates written the same way. The same key gives equal values equal pseudonyms in every document and
 layout; within a format no two values share one. What looks like a value but fails validation is left alone.
 
-Defined cases: null text stays null with nothing found, empty text stays empty; repeated rows are kept; other columns pass
-through unchanged, whatever their names, but for the text column.
+Dates are permuted within the years 0001-1899, 1900-2101 and 2101-9999. Defined cases: null text stays null with nothing found, empty text
+stays empty; repeated rows are kept; other columns pass through unchanged, whatever their names, but for the text column; where a
+column has the name of the column of findings but for case, that one gets underscores at its end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-#: Stands in until ``spark.casebook.pii.key`` is set.
-KEY = "casebook"
+#: Session setting that holds the key.
+KEY_SETTING = "spark.casebook.pii.key"
+_KEYS: dict[str, str] = {}
 
 _B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 _TOP = r"[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
@@ -48,7 +52,9 @@ PATTERN = "|".join((EMAIL, SECRET, DATE, IP, PHONE, SOCIAL, CARD, IBAN))
 _HEX = "0123456789abcdef"
 #: First code point and size of the classes of letters and digits that stay within their class.
 CLASSES = ((48, 10), (65, 26), (97, 26), (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8))
-FIRST_DAY, DAY_A, DAY_B = "1900-01-01", 256, 288
+#: Ranges of days that are permuted within themselves: first day, days, and the two radices, whose product may be larger.
+DAYS = (("1900-01-01", 73_728, 256, 288, "date"), ("0001-01-01", 693_595, 833, 833, "early"), ("2101-11-11", 2_884_736, 1699, 1699, "late"))
+WALK = 64
 
 
 def _let(value: Column, body) -> Column:
@@ -195,31 +201,57 @@ def address(m: Column, key: Column) -> Column:
     return F.when(valid, _let(feistel(hexed, key, "ip", hexed=True), back))
 
 
+def _walk(start: Column, step, ok) -> Column:
+    """``step`` once, and again until ``ok``: a permutation of what is ok.
+
+    An aggregate can't run on without a bound. Of the formats here, over half of the values are ok, so WALK steps all fail
+    with a probability under 1e-19; what is left then is null, and the value counts as invalid.
+    """
+
+    def on(a: Column, _: Column) -> Column:
+        return F.when(a["done"], a).otherwise(_let(step(a["x"]), lambda x: F.struct(x.alias("x"), F.coalesce(ok(x), F.lit(True)).alias("done"))))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(start.alias("x"), F.lit(False).alias("done")), on, lambda a: F.when(a["done"], a["x"]))
+
+
 def _day(day: Column, key: Column) -> Column:
-    """The day that stands for ``day`` in a mixed-radix Feistel network over the days from FIRST_DAY on; null outside."""
-    n = F.date_diff(day, F.lit(FIRST_DAY).cast("date"))
+    """The day that stands for ``day`` in a mixed-radix Feistel network over its range of days, walked on while it leaves the range."""
+    first = None
+    for begin, size, a, b, kind in DAYS:
+        here = F.struct(F.lit(begin).cast("date").alias("first"), F.lit(size).alias("size"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(kind).alias("kind"))
+        inside = F.date_diff(day, F.lit(begin).cast("date")).between(0, size - 1)
+        first = F.when(inside, here) if first is None else first.when(inside, here)
 
-    def moved(a: Column, i: Column) -> Column:
-        hi = F.pmod(a["hi"] + _number(_mix(key, "date", i, "hi", a["lo"]), F.lit(1), F.lit(8)), F.lit(DAY_A)).cast("int")
-        return _let(hi, lambda h: F.struct(h.alias("hi"), F.pmod(a["lo"] + _number(_mix(key, "date", i, "lo", h), F.lit(1), F.lit(8)), F.lit(DAY_B)).cast("int").alias("lo")))
+    def network(r: Column, n: Column) -> Column:
+        add = lambda i, half, x, radix: F.pmod(x[half] + _number(_mix(key, r["kind"], i, half, x["lo" if half == "hi" else "hi"]), F.lit(1), F.lit(8)), radix).cast("int")
 
-    out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(F.floor(n / DAY_B).cast("int").alias("hi"), F.pmod(n, F.lit(DAY_B)).cast("int").alias("lo")), moved, lambda a: a["hi"] * DAY_B + a["lo"])
-    return F.when(n.between(0, DAY_A * DAY_B - 1), F.date_add(F.lit(FIRST_DAY).cast("date"), out))
+        def moved(x: Column, i: Column) -> Column:
+            high = _let(add(i, "hi", x, r["a"]), lambda h: F.struct(h.alias("hi"), x["lo"].alias("lo")))
+            return _let(high, lambda y: F.struct(y["hi"].alias("hi"), add(i, "lo", y, r["b"]).alias("lo")))
 
+        start = F.struct(F.floor(n / r["b"]).cast("int").alias("hi"), F.pmod(n, r["b"]).cast("int").alias("lo"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, moved, lambda x: x["hi"] * r["b"] + x["lo"])
 
-def _walk(start: Column, step, ok) -> Column:
-    """``step`` again and again until ``ok``: a permutation of what is ok."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), step(start), lambda a, _: F.when(ok(a), a).otherwise(step(a)))
+    def placed(r: Column) -> Column:
+        return F.date_add(r["first"], _walk(F.date_diff(day, r["first"]), lambda n: network(r, n), lambda n: n < r["size"]))
+
+    return F.when(day.isNotNull(), _let(first, placed))
 
 
 def date(m: Column, key: Column) -> Column:
     """Year first, day first, or month first where day first is no date (the pseudonym's day is then over 12, too)."""
-    iso, dots = F.contains(m, F.lit("-")), F.contains(m, F.lit("."))
-    shown = lambda d, f: _let(_day(F.try_to_date(m, f), key), lambda x: F.date_format(x, d))
-    day_first = F.try_to_date(F.replace(m, F.lit("."), F.lit("/")), "dd/MM/yyyy")
-    month_first = F.try_to_date(m, "MM/dd/yyyy")
-    walked = F.date_format(_walk(month_first, lambda x: _day(x, key), lambda x: F.dayofmonth(x) > 12), "MM/dd/yyyy")
-    return F.when(iso, shown("yyyy-MM-dd", "yyyy-MM-dd")).when(day_first.isNotNull(), F.date_format(_day(day_first, key), "dd/MM/yyyy")).when(~dots & _day(month_first, key).isNotNull(), walked), dots
+    slashed = F.replace(m, F.lit("."), F.lit("/"))
+    forms = ((m, "yyyy-MM-dd"), (slashed, "dd/MM/yyyy"), (m, "MM/dd/yyyy"))
+
+    def made(read: Column) -> Column:
+        def shown(d: Column) -> Column:
+            out = F.when(read["form"] == 0, F.date_format(d, forms[0][1])).when(read["form"] == 1, F.date_format(d, forms[1][1])).otherwise(F.date_format(d, forms[2][1]))
+            return F.when(F.contains(m, F.lit(".")), F.replace(out, F.lit("/"), F.lit("."))).otherwise(out)
+
+        return _let(_walk(read["day"], lambda d: _day(d, key), lambda d: (read["form"] < 2) | (F.dayofmonth(d) > 12)), shown)
+
+    reading = lambda i: _let(F.try_to_date(*forms[i]), lambda d: F.when(d.isNotNull(), F.struct(d.alias("day"), F.lit(i).alias("form"))))
+    return _let(F.coalesce(*map(reading, range(len(forms)))), lambda read: F.when(read.isNotNull(), made(read)))
 
 
 def social(m: Column, key: Column) -> Column:
@@ -269,14 +301,12 @@ def secret(m: Column, key: Column) -> Column:
 
 def pseudonym(m: Column, key: Column) -> Column:
     """An array of ``struct(kind, value)`` for one match; ``kind`` is null and the value unchanged where validation fails."""
-    day, dotted = date(m, key)
-    day = F.when(dotted & ~F.contains(m, F.lit("-")), F.replace(day, F.lit("/"), F.lit("."))).otherwise(day)
     kinds = (
         ("secret", m.rlike(f"^{_NAMED}"), secret(m, key)),
         ("email", F.contains(m, F.lit("@")), email(m, key)),
         ("iban", m.rlike("^[A-Z]"), iban(m, key)),
         ("ip", m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), address(m, key)),
-        ("date", m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})$"), day),
+        ("date", m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})$"), date(m, key)),
         ("social", m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), social(m, key)),
         ("phone", m.rlike(r"^(\+|\(|[0-9]{3}([.-])[0-9]{3}\2[0-9]{4}$)"), phone(m, key)),
     )
@@ -289,23 +319,37 @@ def pseudonym(m: Column, key: Column) -> Column:
     return F.when(kind.isNull(), cards).otherwise(F.array(one))
 
 
+def query_key(spark: SparkSession) -> str:
+    """The session's key; where none is set, a random one that lasts as long as the application, so that values are linked within its results only."""
+    app = spark.sparkContext.applicationId
+    return spark.conf.get(KEY_SETTING, None) or _KEYS.setdefault(app, secrets.token_hex(32))
+
+
 def pseudonymize(docs: DataFrame, text_col: str = "text", found_col: str = "found", key: str | None = None) -> DataFrame:
-    """``docs`` with pseudonyms in ``text_col`` and ``found_col``: an array of struct(kind, value), in order of the text."""
-    key = key or docs.sparkSession.conf.get("spark.casebook.pii.key", KEY)
+    """``docs`` with pseudonyms in ``text_col`` and ``found_col``: an array of struct(kind, value), in order of the text.
+
+    The key is ``key`` or the session's; without one this raises.
+    """
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"a key is needed: set {KEY_SETTING}")
+    taken = {c.lower() for c in docs.columns}
+    while found_col.lower() in taken:
+        found_col += "_"
     text, k = F.col(text_col).cast("string"), F.lit(key)
     none = F.array().cast("array<array<struct<kind:string,value:string>>>")
     hits = F.when(text.rlike("[0-9@=:]"), F.transform(F.regexp_extract_all(text, F.lit(PATTERN), 0), lambda m: pseudonym(m, k))).otherwise(none)
-    taken = {c.lower() for c in docs.columns}
+    taken.add(found_col.lower())
     was, got = (next(n for k in range(len(taken) + 1) if (n := stem + "_" * k) not in taken) for stem in ("text_was", "pii_got"))
-    names = [F.col(f"`{c}`") for c in docs.columns if c != found_col]
+    names = [F.col(f"`{c}`") for c in docs.columns]
     made = docs.select(*names, text.alias(was), F.coalesce(hits, none).alias(got))
     gaps = F.split(was, PATTERN, -1)
     filled = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.array_join(F.coalesce(F.transform(F.get(got, i), lambda h: h["value"]), F.array().cast("array<string>")), ""))), "")
     new = F.when(F.size(got) > 0, filled).otherwise(F.col(was)).alias(text_col)
     found = F.filter(F.flatten(got), lambda h: h["kind"].isNotNull()).alias(found_col)
-    return made.select(*[new if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != found_col], found)
+    return made.select(*[new if c == text_col else F.col(f"`{c}`") for c in docs.columns], found)
 
 
 def op10_pii(spark, sf_dir: str) -> DataFrame:
-    out = pseudonymize(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    out = pseudonymize(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), key=query_key(spark))
     return out.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["kind"]))), ",").alias("kinds"))

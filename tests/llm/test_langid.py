@@ -1,5 +1,6 @@
 import itertools
 import random
+import zlib
 
 import numpy as np
 from casebook.llm import langid
@@ -62,3 +63,41 @@ def test_nothing_to_learn(spark):
 def test_held_out_accuracy(spark, sf):
     got = langid.op5_langid(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.95
+
+
+def test_stage_follows_the_model(spark):
+    from pyspark.sql import functions as F
+
+    df = table(spark)
+    junk = [(7001, "xqjz wvkp bnzq gfhx xvzq jwpk " * 5, None, "s"), (7002, " ".join(LATIN["aa"] * 9 + CYR * 4), None, "s"), (7003, " ".join(CYR * 5), "zz", "s")]
+    docs = df.unionByName(spark.createDataFrame(junk, df.schema))
+    kept = {r.doc_id for r in langid.keep_identified(docs, langid.fit(df)).collect()}
+    assert kept == {r.doc_id for r in df.collect()} - {5001, 5002, 5003, 5004} | {7002, 7003}
+    fewer = langid.fit(df.where("lang <> 'ru'"))
+    left = {r.doc_id for r in langid.keep_identified(docs, fewer).collect()}
+    assert left == {i for i in kept if i is None or i < 1000} | {7002}, "texts in a script that wasn't learned go"
+    rows = langid.keep_identified(docs.withColumn("Found", F.lit(1)), langid.fit(df))
+    assert rows.columns == [*docs.columns, "Found"] and langid.keep_identified(docs.limit(0), fewer).count() == 0
+
+
+def test_many_languages(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    known = [[word() for _ in range(4)] for _ in range(1001)]
+    rows = [(3 * i + j, " ".join(w * 3), f"l{i}") for i, w in enumerate(known + [[word() for _ in range(4)] for _ in range(80)]) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    learned = {n for i, _, n in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert len(learned) > 950 and model["langs"] == sorted(learned) and model["logp"].size <= 1 << langid.MODEL_BITS
+    some = langid.predict(df.where("doc_id % 50 = 0 or doc_id >= 3000"), model).collect()
+    some = [r for r in some if f"l{r.id // 3}" in learned]
+    assert len(learned) > 1001 and np.mean([r.lang_pred == f"l{r.id // 3}" for r in some]) > 0.95
+
+
+def test_very_long_text(spark):
+    df = table(spark)
+    text = " ".join(LATIN["ee"] * 60_000 + LATIN["aa"] * 20_000)
+    one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    r = langid.predict(one, langid.fit(df)).first()
+    assert r.lang_pred == "ee" and [s.lang for s in r.spans] == ["ee", "aa"] and r.spans[-1].end == len(text)
+    assert langid.keep_identified(one, langid.fit(df)).count() == 1

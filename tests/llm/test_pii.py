@@ -32,17 +32,23 @@ def luhn(s):
 
 
 def day(d):
-    n = (d - date(1900, 1, 1)).days
-    hi, lo = divmod(n, 288)
-    for i in range(1, pii.ROUNDS + 1):
-        hi = (hi + int(mix("date", i, "hi", lo)[:8], 16)) % 256
-        lo = (lo + int(mix("date", i, "lo", hi)[:8], 16)) % 288
-    return date(1900, 1, 1) + timedelta(hi * 288 + lo)
+    first, size, a, b, kind = next(x for x in pii.DAYS if 0 <= (d - date.fromisoformat(x[0])).days < x[1])
+    n = (d - date.fromisoformat(first)).days
+    while True:
+        hi, lo = divmod(n, b)
+        for i in range(1, pii.ROUNDS + 1):
+            hi = (hi + int(mix(kind, i, "hi", lo)[:8], 16)) % a
+            lo = (lo + int(mix(kind, i, "lo", hi)[:8], 16)) % b
+        n = hi * b + lo
+        if n < size:
+            return date.fromisoformat(first) + timedelta(n)
 
 
 def run(spark, texts):
     df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in enumerate(texts)], "doc_id long, text string, text_was string, pii_got string, found string")
-    return [(r.text, [(x.kind, x.value) for x in r.found]) for r in pii.pseudonymize(df, key="k").orderBy("doc_id").collect()]
+    rows = pii.pseudonymize(df, key="k").orderBy("doc_id").collect()
+    assert all((r.text_was, r.pii_got, r.found) == ("x", "y", "z") for r in rows)
+    return [(r.text, [(x.kind, x.value) for x in r.found_]) for r in rows]
 
 
 def test_values(spark):
@@ -64,7 +70,7 @@ def test_values(spark):
         ("at 97.17.153.130.", f"at {dotted}."), ("v 397.51.17.173 and 1.2.3.4.5 and 01.2.3.4", "v 397.51.17.173 and 1.2.3.4.5 and 01.2.3.4"),
         (f'x token = "{token}"', f'x token = "{feistel(token, "secret", True)}"'),
         ("<réou.9@mail7.example.com>", f"<{mail}>"), ("2020-02-29", day(date(2020, 2, 29)).isoformat()), ("2021-02-29", "2021-02-29"),
-        ("on 01.02.2003.", f"on {day(date(2003, 2, 1)):%d.%m.%Y}."), ("31/01/1999", f"{day(date(1999, 1, 31)):%d/%m/%Y}"), ("1850-01-01", "1850-01-01"),
+        ("on 01.02.2003.", f"on {day(date(2003, 2, 1)):%d.%m.%Y}."), ("31/01/1999", f"{day(date(1999, 1, 31)):%d/%m/%Y}"), *((x.isoformat(), day(x).isoformat()) for x in (date(1850, 1, 1), date(1899, 12, 31), date(1900, 1, 1), date(2101, 11, 10), date(2101, 11, 11), date(9999, 12, 31), date(1, 1, 1), date(2150, 1, 1))), ("14.07.1889", f"{day(date(1889, 7, 14)):%d.%m.%Y}"), ("0000-01-01", "0000-01-01"),
         (None, None), ("", ""), ("no values, 123 or 5 @ 7", "no values, 123 or 5 @ 7"),
     ]
     for (source, want), (text, _) in zip(pairs, run(spark, [s for s, _ in pairs])):
@@ -156,4 +162,15 @@ def test_query(spark, sf):
         assert (r.text == old[r.doc_id]) == (r.n_found == 0)
         for m in re.findall(r"[\w.]+@[\w.]+\w|\+1 \(\d{3}\) \d{3}-\d{4}|(?<!\d)\d{16}(?!\d)", old[r.doc_id]):
             assert m not in r.text or (m.isdigit() and not luhn(m))
-    assert pii.pseudonymize(df.limit(0)).count() == 0
+    assert pii.pseudonymize(df.limit(0), key="k").count() == 0
+
+
+def test_key_and_names(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "x@y.org", "mine")], "doc_id long, text string, Found string")
+    with pytest.raises(ValueError):
+        pii.pseudonymize(df)
+    out = pii.pseudonymize(df, key="k")
+    assert out.columns == ["doc_id", "text", "Found", "found_"] and out.first().Found == "mine"
+    assert pii.query_key(spark) == pii.query_key(spark) and len(pii.query_key(spark)) == 64

@@ -70,3 +70,26 @@ def test_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = dict(connected(e).collect())
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_shuffled_path_takes_few_rounds(spark, monkeypatch):
+    from casebook.llm import common
+
+    order = list(range(2000))
+    random.Random(1).shuffle(order)
+    written, write = [], common.cut
+    monkeypatch.setattr(common, "cut", lambda df: written.append(1) or write(df))
+    got = dict(common.connected(spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")).collect())
+    assert got == dict.fromkeys(order, 0) and len(written) <= 22
+
+
+def test_scratch_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    import pytest
+    from casebook.llm.common import scratch_root
+
+    conf = N(get=lambda *_: None)
+    session = N(conf=conf, sparkContext=N(getConf=lambda: conf, master="spark://host:7077", applicationId="other"))
+    with pytest.raises(ValueError):
+        scratch_root(session)
