@@ -14,7 +14,7 @@ from casebook.llm.common import cut
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identifiable language go."""
+    """Documents whose language the model learned from ``lang`` doesn't know, or without a letter, go."""
     return langid.keep_identified(docs, langid.fit(docs))
 
 
@@ -29,9 +29,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced; ``n_chars`` follows the text."""
+    """Personal data is replaced under the session's key, or one of this application; ``n_chars`` follows the text."""
     found = "found" + "_" * max(map(len, docs.columns))
-    out = pii.pseudonymize(docs, found_col=found).drop(found)
+    out = pii.pseudonymize(docs, found_col=found, key=pii.query_key(spark)).drop(found)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
