@@ -2,11 +2,11 @@
 
 Many voters look at a text: lexicon voters (words, and stems of several lengths, induced from labelled rows) and pattern
 voters. A generative label model estimates, by expectation-maximisation, how much more often each voter speaks up on
-toxic texts than on others, and from the residual correlations within the classes how far voters repeat one another;
-the rows' own labels are one more voter of fixed accuracy. A logistic model is then trained on the posterior labels, with the voters' counts as input.
+toxic texts than on others, and from the residual correlations within the classes how far voters repeat one another. It
+sees texts without a label, too, on which the voters alone decide; where there is a label, that is one more voter, of fixed accuracy. A logistic model is then trained on the posterior labels of the labelled texts, with the voters' counts as input.
 
-The fit uses a bounded sample (``SAMPLE`` rows of each label value, by a hash of the id) of rows whose fold is learned
-from; scores cover every row. Defined cases: null and empty texts get the score of a text on which no voter speaks;
+The fit uses bounded samples (``SAMPLE`` rows of each label value and ``UNLABELLED`` rows without a label, by a hash of the id) of rows
+whose fold is learned from; scores cover every row. Defined cases: null and empty texts get the score of a text on which no voter speaks;
 without labelled rows of both kinds every score is the share of positive labels, 0 if there are none; equal ids and repeated rows are kept; of repeated labels the highest counts.
 """
 
@@ -22,13 +22,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.common import fold, stretches
-from casebook.llm.fitting import logistic, per_class, sigmoid
+from casebook.llm.fitting import logistic, per_class, share, sigmoid
 
 SAMPLE = 4000
 VOTERS = 256
 LEAST_Z = 3.0
 STEMS = (4, 5, 6)
+#: Texts without a label that the label model sees.
+UNLABELLED = 8000
+#: Accuracy of labels.
 GOLD = 0.95
+#: Weight of all texts without a label against that of the labelled ones.
+UNLABELLED_WEIGHT = 0.25
 CACHED = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Patterns of abuse and shouting.
@@ -102,19 +107,21 @@ def induce(rows: DataFrame, size: int = VOTERS) -> list[str]:
 
 
 def label_model(votes: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 3, steps: int = 8) -> np.ndarray:
-    """Posterior of label 1. A voter that speaks up counts by its likelihood ratio, shared among voters it is correlated with."""
-    total = weight.sum()
+    """Posterior of label 1; ``y`` is 0, 1 or -1 (none told). A voter that speaks up counts by its likelihood ratio, shared among voters it is correlated with."""
+    told = y >= 0
     post, discount = np.where(y == 1, GOLD, 1 - GOLD), np.ones(votes.shape[1])
-    for _ in range(rounds):
+    prior = np.clip((weight * (y == 1)).sum() / max((weight * told).sum(), 1e-9), 0.01, 0.99)
+    for k in range(rounds):
+        # the first round looks at the told rows, so that the classes are those of the labels; then the others join
+        seen = weight if k else np.where(told, weight, 0)
         for _ in range(steps):
-            on, off = weight * post, weight * (1 - post)
-            prior = np.clip(on.sum() / total, 0.01, 0.99)
+            on, off = seen * post, seen * (1 - post)
             t1 = (votes.T @ on + 1) / (on.sum() + 2)
             t0 = (votes.T @ off + 1) / (off.sum() + 2)
-            gold = np.where(y == 1, 1, -1) * np.log(GOLD / (1 - GOLD))
-            post = sigmoid(np.log(prior / (1 - prior)) + gold + votes @ (discount * np.log(t1 / t0)))
+            own = np.where(y == 1, 1, -1) * told * np.log(GOLD / (1 - GOLD))
+            post = sigmoid(np.log(prior / (1 - prior)) + own + votes @ (discount * np.log(t1 / t0)))
         left = np.zeros((votes.shape[1], votes.shape[1]))
-        for w, t in ((on, t1), (off, t0)):
+        for w, t in ((seen * post, t1), (seen * (1 - post), t0)):
             z = votes - t
             cov = (z * w[:, None]).T @ z / max(w.sum(), 1e-9)
             sd = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
@@ -124,8 +131,8 @@ def label_model(votes: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: in
     return post
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", size: int = SAMPLE) -> dict:
-    """Lexicon and weights, from a bounded sample of the labelled rows whose fold (crc32 mod 5) isn't 0."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", size: int = SAMPLE, unlabelled: int = UNLABELLED) -> dict:
+    """Lexicon and weights, from bounded samples of the labelled and the other rows whose fold (crc32 mod 5) isn't 0."""
     told = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
     told = told.where(F.col("y").isin(0, 1) & (fold(F.col("id"), 5) != 0)).groupBy("id").agg(F.max("y").alias("y"))
     picked, rates = per_class(told, "y", size)
@@ -134,6 +141,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = text.join(F.broadcast(picked), "id").select("text", "y")  # picked: 2 * size rows or about so many
     lexicon = induce(rows)
+    # rows without a label are drawn by id first, so that only the drawn ids meet the labels and only their texts are read on
+    drawn = text.where(fold(F.col("id"), 5) != 0)
+    every = drawn.select("id").count()
+    rate = min(1.0, unlabelled / max(every, 1))
+    others = drawn.where(share(F.col("id")) < rate).join(told.where(share(F.col("id")) < rate).select("id"), "id", "left_anti").select("text", F.lit(-1).alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Voters(lexicon)
@@ -141,16 +153,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             x = v.features(b.column(0).to_pylist()).astype(np.float32)
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
 
-    got = rows.mapInArrow(run, "y int, x binary").collect()
-    if len({r.y for r in got}) < 2:
-        return {"lexicon": [], "weights": None, "flat": float(any(r.y for r in got))}
+    got = rows.unionByName(others).mapInArrow(run, "y int, x binary").collect()  # 2 * size + unlabelled rows or about so many
+    if not {0, 1} <= {r.y for r in got}:
+        return {"lexicon": [], "weights": None, "flat": float(any(r.y == 1 for r in got))}
     x = np.stack([np.frombuffer(r.x, np.float32) for r in got]).astype(np.float64)
     y = np.array([r.y for r in got])
-    weight = np.array([1 / rates[int(k)] for k in y])
-    weight *= len(weight) / weight.sum()
+    weight = np.array([1 / rates[int(k)] if k >= 0 else 0 for k in y])
+    weight *= (y >= 0).sum() / weight.sum()
+    weight[y < 0] = min(1.0, UNLABELLED_WEIGHT * (y >= 0).sum() / max((y < 0).sum(), 1))
     votes = np.c_[x[:, :-5] > 0, x[:, -2] > 0].astype(np.float64)
     post = label_model(votes, y, weight)
-    return {"lexicon": lexicon, "weights": logistic(x, post, weight, l2=0.1), "flat": 0.0}
+    weight[y < 0] = 0  # silent voters would teach the classifier that a toxic text without a label is not
+    return {"lexicon": lexicon, "weights": logistic(x, post, weight, l2=0.1), "flat": 0.0, "posterior": np.c_[y, post]}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
