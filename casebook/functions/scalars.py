@@ -88,10 +88,10 @@ def label_domains(c: Column) -> Column:
 
 
 def expand_domains(c: Column, table: dict[str, list[str]]) -> Column:
-    """Every element of a list text replaced by all that ``table`` has for it (unknown ones go), then :func:`label_domains`."""
+    """Every element of a list text replaced by all that ``table`` has for it (unknown ones go; null if none is left), then :func:`label_domains`."""
     entries = [x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]
     found = F.transform(F.array_distinct(F.split(unify_list_text(c), SEP)), lambda d: F.try_element_at(F.create_map(*entries), d))
-    return label_domains(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.filter(found, lambda x: x.isNotNull())))), SEP))
+    return label_domains(none_if_empty(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.filter(found, lambda x: x.isNotNull())))), SEP)))
 
 
 def first_year(c: Column) -> Column:
@@ -138,10 +138,15 @@ def segment(c: Column, i: int) -> Column:
 
 def reference_fields(c: Column) -> Column:
     """``k=v|k=v`` as a map: the first equals sign splits, a key without value is null, the last of equal keys wins."""
-    pairs = F.transform(F.split(c, r"\|"), lambda x: F.struct(F.split_part(x, F.lit("="), F.lit(1)).alias("key"), F.when(F.contains(x, F.lit("=")), F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("value")))
-    # of equal keys the last is kept by dropping those with a later twin
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last)
+    keys = F.transform(F.split(c, r"\|"), lambda x: F.split_part(x, F.lit("="), F.lit(1)))
+
+    def last(ks: Column) -> Column:
+        # of equal keys the last: a field stays if its key's first place from the end is its own
+        back = F.reverse(ks)
+        own = F.filter(F.transform(F.split(c, r"\|"), lambda x, i: F.struct(x.alias("x"), F.get(ks, i).alias("key"), i.alias("i"))), lambda e: F.array_position(back, e["key"]) == F.size(ks) - e["i"])
+        return F.map_from_entries(F.transform(own, lambda e: F.struct(e["key"].alias("key"), F.when(F.contains(e["x"], F.lit("=")), F.substring(e["x"], F.instr(e["x"], "=") + 1, F.length(e["x"]))).alias("value"))))
+
+    return F.get(F.transform(F.array(keys), last), 0)
 
 
 def clean_title(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions import fixed
-from casebook.operators.tables import union_distinct
+from casebook.operators.tables import kept, union_distinct
 
 SEARCHED = ("title", "summary", "full_text")
 
@@ -97,8 +97,10 @@ def expand(seeds: DataFrame, edges: DataFrame, degrees_sources: int = 0, degrees
 
     def walk(hops: int, at: str, to: str) -> DataFrame:
         seen = front = seeds
-        for _ in range(hops):
+        for k in range(hops):
             front = edges.join(front, edges[at] == front["id"], "left_semi").select(F.col(to).alias("id")).distinct().join(seen, "id", "left_anti")
+            if k + 1 < hops:
+                front = kept(front)  # read by the next hop and by the result
             seen = seen.unionByName(front)
         return seen
 
@@ -148,17 +150,17 @@ def pagerank(nodes: DataFrame, edges: DataFrame, rounds: int = 5, damping: float
     n = ids.count()
     if not n:
         return ids.withColumn("rank", F.lit(0.0))
+    edges = kept(edges.select("source", "target"))
     out = edges.groupBy(F.col("source").alias("id")).agg(F.count(F.lit(1)).alias("out"))
-    base = ids.join(out, "id", "left")
+    base = kept(ids.join(out, "id", "left"))
     rank = base.withColumn("rank", F.lit(1.0 / n))
-    sc = edges.sparkSession.sparkContext
     for k in range(rounds):
         idle = rank.where("out is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("idle"))
         given = edges.join(rank.select(F.col("id").alias("source"), (F.col("rank") / F.col("out")).alias("part")), "source").groupBy(F.col("target").alias("id")).agg(F.sum("part").alias("got"))
         new = base.join(given, "id", "left")
         rank = new.select("id", "out", ((1 - damping) / n + damping * (F.coalesce("got", F.lit(0.0)) + idle.scalar() / n)).alias("rank"))
-        if k % 4 == 3 and sc._jsc.sc().getCheckpointDir().isDefined():
-            rank = rank.checkpoint()
+        if k + 1 < rounds:
+            rank = kept(rank)  # read twice in the next round
     return rank.select("id", "rank")
 
 

@@ -94,11 +94,23 @@ def last_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return out.select("row.*")
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once for plans that read it several times: a checkpoint where the cluster names a folder for them, else a cache that spills to disk."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        return df.persist()
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def dense_ids(df: DataFrame, key: str, out: str = "id", ranges: int = 64) -> DataFrame:
     """Adds 1, 2, 3, ... in order of the unique ``key``, without one task seeing all rows.
 
     A bounded sample of keys gives fixed boundaries; each range is numbered on its own and shifted by the counts before it.
     """
+    df = kept(df)  # read three times
     picked = df.select(F.col(key).alias("k")).where("k is not null").orderBy(F.xxhash64("k"), "k").limit(ranges * 16).collect()
     keys = sorted((r.k for r in picked), key=lambda x: x.encode() if isinstance(x, str) else x)
     bounds = [keys[i] for i in range(16, len(keys), 16)]

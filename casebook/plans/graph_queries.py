@@ -213,6 +213,9 @@ def back_fill_ranges(spark, sf_dir):
 def monthly_events(spark, sf_dir):
     import tempfile
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="casebook-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+    shared = shared or "file://" + tempfile.mkdtemp(prefix="casebook-")
     at = f"{shared.rstrip('/')}/casebook-stream-{uuid.uuid4().hex}"
     return M.monthly_events(spark, f"{sf_dir}/events.parquet", f"{at}/checkpoint", f"{at}/out")

@@ -67,10 +67,10 @@ UNION ALL SELECT {CASE} || {ECLI}, {TERM}heeftZaaknummer', 'A/' || CAST(o_orderk
 UNION ALL SELECT {CASE} || {ECLI}, {TERM}heeftUitspraakdatum', CAST(CAST(o_orderdate AS DATE) AS STRING) FROM {{orders}}
 UNION ALL SELECT {CASE} || {ECLI}, {TERM}linkt',
   CASE l_linenumber % 4 WHEN 0 THEN {LAW} || {LIDO} WHEN 1 THEN {LAW} || {BWB} || '/' || CAST(p_size AS STRING) || '/0' WHEN 2 THEN {LAW} || {BWB} || '/9999' ELSE {CASE} || 'ECLI:NL:X:2000:1' END
-  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey WHERE l_linenumber <= 4 AND o_orderkey % 3 = 0
+  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey
 UNION ALL SELECT {CASE} || {ECLI}, {TERM}refereertAan',
   'linktype=x|target=bwb|uri=jci1.3:c:' || {BWB} || '&g=' || CAST(l_quantity AS STRING) || '|lido-id=' || {LAW} || {LIDO} || '|opschrift=artikel ' || CAST(p_size AS STRING)
-  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey WHERE l_linenumber = 1
+  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey
 """
 
 #: Title lists of laws: titles in order, some null, some equal but for case.

@@ -148,7 +148,7 @@ def set_split(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(S.as_set(F.expr("c_mktsegment || '; ' || c_name || '; ' || c_mktsegment")), "|").alias("elements"))
 
 
-@query("SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'A; B' WHEN 'MACHINERY' THEN 'C; C-Algemeen/Overig/Niet-gelabeld' ELSE '; -Algemeen/Overig/Niet-gelabeld' END AS domains FROM {customer}")
+@query("SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'A; B' WHEN 'MACHINERY' THEN 'C; C-Algemeen/Overig/Niet-gelabeld' END AS domains FROM {customer}")
 def domain_dictionary(spark, sf_dir):
     text = F.concat(F.lit("['"), "c_mktsegment", F.lit("']"))
     return table(spark, sf_dir, "customer").select("c_custkey", S.expand_domains(text, {"BUILDING": ["A", "B"], "MACHINERY": ["C"]}).alias("domains"))
