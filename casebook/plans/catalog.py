@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from casebook.plans import graph_queries, scalar_queries, table_queries  # noqa: F401
+from casebook.plans import file_queries, graph_queries, scalar_queries, table_queries  # noqa: F401
 from casebook.plans.registry import QUERIES, SQL  # noqa: F401

@@ -9,8 +9,11 @@ from collections.abc import Iterator
 from datetime import date, timedelta
 from importlib import import_module
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from casebook.sources import sinks
+
 #: Rows a page, and defaults of the date and language options.
 PAGE = 500
 DEFAULTS = {"languages": "ENG,FRE", "start_date": "1990-01-01"}
@@ -70,3 +73,40 @@ def back_fill(boundaries: list[str]) -> list[tuple[str | None, str | None]]:
     out: list[tuple[str | None, str | None]] = [(None, day(boundaries[0], -1))]
     out += [(a, day(b, -1)) for a, b in zip(boundaries, boundaries[1:])]
     return [*out, (boundaries[-1], None)]
+
+
+#: The sources, how each is asked, and the outputs that each lands.
+SOURCES = {
+    "rechtspraak": {"by": "days", "outputs": ("base", "metadata", "citations")},
+    "echr": {"by": "pages", "outputs": ("metadata", "full_text", "nodes", "edges")},
+    "cellar": {"by": "days", "outputs": ("metadata", "full_text", "nodes", "edges")},
+}
+MOST = 1_000_000
+
+
+def load(spark: SparkSession, columns: list[str], count: int | None = None, **options: str) -> DataFrame:
+    """Rows of a service, ``count`` of them at most; pages beyond the count aren't asked for."""
+    spark.dataSource.register(Harvest)
+    options |= {"count": str(count)} if count is not None and options.get("by") == "pages" else {}
+    df = spark.read.format("harvest").schema(", ".join(f"`{c}` string" for c in columns)).options(**options).load()
+    return df if count is None else df.limit(count)
+
+
+def extract(spark: SparkSession, source: str, fetch: dict[str, str], columns: dict[str, list[str]], folder: str, count: int | None = MOST, skip_if_exists: bool = True, **options: str) -> dict[str, str]:
+    """Land a named source: one folder an output, ``{output: path}``; where all are there, nothing is asked.
+
+    ``fetch`` and ``columns`` name the client and the columns of each output; outputs without a client are left out.
+    """
+    spec = SOURCES[source]
+    paths = {o: f"{folder}/{o}" for o in spec["outputs"] if o in fetch}
+    if skip_if_exists and all(sinks.exists(spark, f"{p}/_SUCCESS") for p in paths.values()):
+        return paths
+    for o, path in paths.items():
+        df = load(spark, columns[o], count, fetch=fetch[o], **{"by": spec["by"], **options})
+        if o == "full_text":
+            df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+        elif o in ("nodes", "edges"):
+            sinks.write_lines(df, path, "overwrite")
+        else:
+            sinks.write_csv(df, path, "overwrite")
+    return paths

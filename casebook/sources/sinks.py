@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,56 @@ def write_objects(df: DataFrame, path: str, keys: tuple[str, ...] = ("item_id",
     rows.repartition("key").write.mode("overwrite").partitionBy("key").text(path)
 
 
+def _uri(path: str) -> str:
+    """A path as a URI that pyarrow's file systems know, too."""
+    if "://" not in path and not path.startswith("file:"):
+        return "file://" + path
+    return "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path
+
+
+def put_objects(df: DataFrame, path: str, keys: tuple[str, ...] = ("item_id", "celex")) -> int:
+    """One file ``<key>.json`` for each row with a key, put by the tasks themselves; how many.
+
+    Keys are unique and percent-encoded in names. An object is written aside and moved into place, so a repeated task or a later run replaces it whole.
+    """
+    key = F.coalesce(*[F.col(k) for k in keys if k in df.columns])
+    rows = df.select(F.url_encode(key.cast("string")).alias("key"), F.to_json(F.struct(*df.columns)).alias("body")).where("key is not null")
+    uri = _uri(path)
+
+    def put(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(uri)
+        store.create_dir(folder, recursive=True)
+        for b in batches:
+            for k, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                aside = f"{folder}/.{k}.{uuid.uuid4().hex}"
+                with store.open_output_stream(aside) as f:
+                    f.write(body.encode())
+                store.move(aside, f"{folder}/{k}.json")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    return rows.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def append_documents(df: DataFrame, path: str) -> None:
+    """Add documents to a folder of JSON lines; ``read_documents(lines=True)`` reads all of them."""
+    df.write.mode("append").option("ignoreNullFields", False).json(path)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Delete source files or slices once they are loaded; those that were there."""
+    gone = []
+    for path in paths:
+        p, fs = _fs(spark, path)
+        if fs.exists(p) and fs.delete(p, True):
+            gone.append(path)
+    return gone
+
+
 def write_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Tab-separated, no header."""
     df.write.mode(mode).option("sep", "\t").csv(path)
@@ -96,3 +147,26 @@ def prepare(spark: SparkSession, outputs: list[str], source: str | None = None)
         raise FileExistsError(f"exists already: {found}")
     if source and not exists(spark, source):
         raise FileNotFoundError(source)
+
+
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df``, or an error where it is empty: a download that brought nothing must not be loaded."""
+    if df.isEmpty():
+        raise ValueError(f"{name} is empty")
+    return df
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where a pipeline keeps its data under one root."""
+
+    root: str
+
+    def raw(self, source: str, name: str = "") -> str:
+        return "/".join(x for x in (self.root, "raw", source, name) if x)
+
+    def processed(self, source: str, name: str = "") -> str:
+        return "/".join(x for x in (self.root, "processed", source, name) if x)
+
+    def full_text(self, source: str) -> str:
+        return f"{self.root}/full_text/{source}"
