@@ -1,9 +1,9 @@
 """Benchmark decontamination over a positional inverted index sharded by document.
 
-``build_index`` stores, for each shard of documents, one posting list a term: the sorted positions of the term in the
-shard's token stream (documents stand one free position apart, so no window spans two). Only terms of the test items
-get a list, as no query reads another. ``phrases`` takes the lists back, starts from each window's rarest term in that
-shard, and intersects the offset-adjusted lists from rare to common; ``proximity`` does so with a slack. A term that
+``build_index`` stores, for each shard of documents, one posting list for every term of the training text: the sorted positions
+of the term in the shard's token stream (documents stand one free position apart, so no window spans two). It knows nothing of
+test items, so any set of items can be asked of it. ``phrases`` starts from each window's rarest term in the shard and intersects
+the offset-adjusted lists from rare to common, by binary search in each next list; ``proximity`` does so with a slack. A term that
 occurs everywhere has its list cut along the shards, so nothing is gathered by term.
 
 Words are maximal runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. Defined cases: null and empty
@@ -14,12 +14,14 @@ kept as rows; empty tables are fine on either side.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casebook.llm.common import cut, stretches
 
@@ -32,7 +34,7 @@ ITEMS_MB = 4
 ALL_ITEMS_MB = 256
 
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
-INDEX = "doc_ids array<bigint>, n_words array<int>, terms array<int>, lengths array<int>, positions binary"
+INDEX = "doc_ids array<bigint>, n_words array<int>, terms binary, lengths binary, positions binary"
 
 
 def words(raw: bytes | None) -> list[bytes]:
@@ -42,8 +44,8 @@ def words(raw: bytes | None) -> list[bytes]:
 class Queries:
     """Test items as term numbers: the vocabulary, and each item's windows."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW, vocabulary: dict[bytes, int] | None = None):
-        vocabulary = {} if vocabulary is None else vocabulary
+    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+        self.vocabulary = vocabulary = {}
         self.names = sorted({i for i, _ in items})
         at = {i: k for k, i in enumerate(self.names)}
         rows, sizes, owner, self.whole = [], [], [], []
@@ -61,48 +63,63 @@ class Queries:
         self.sizes, self.owner = np.array(sizes, np.int64), np.array(owner, np.int64)
 
 
-def build_index(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
-    """One row a shard: the documents with their word counts, and the posting lists one after the other. ``vocabulary``: a broadcast dict."""
+def postings_of(texts: list[bytes | None]) -> dict:
+    """Word counts of the texts, the terms in order of first use, the lengths of their lists, and the lists one after the other."""
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    tokens, counts = [], []
+    for raw in texts:
+        w = words(raw)
+        counts.append(len(w))
+        tokens.extend(map(number.__getitem__, w))
+        tokens.append(-1)
+    tok = np.array(tokens, np.int32)
+    order = np.argsort(tok, kind="stable")[len(texts) :].astype(np.int32)
+    lengths = np.bincount(tok[tok >= 0], minlength=len(number)).astype(np.int32)
+    return {"n_words": counts, "terms": b" ".join(number), "lengths": lengths.tobytes(), "positions": order.tobytes()}
 
-    def pack(ids: list, texts: list) -> tuple:
-        tokens, counts = [], []
-        number = vocabulary.value.get
-        for raw in texts:
-            w = words(raw)
-            counts.append(len(w))
-            tokens += [number(x, -1) for x in w]
-            tokens.append(-1)
-        tok = np.array(tokens, np.int32)
-        where = np.flatnonzero(tok >= 0).astype(np.int32)
-        order = where[np.argsort(tok[where], kind="stable")]
-        terms, lengths = np.unique(tok[where], return_counts=True)
-        return ids, counts, terms, lengths, order.tobytes()
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
+    """One row a shard: the documents with their word counts, and the posting list of every term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())), ("terms", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())), ("positions", pa.binary())])
+        schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())), ("terms", pa.binary()), ("lengths", pa.binary()), ("positions", pa.binary())])
         for b in batches:
             for at, n in stretches(b.column(1), shard):
-                ids, texts = b.column(0).slice(at, n).to_pylist(), b.column(1).slice(at, n).cast(pa.binary()).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(pack(ids, texts), schema)], schema=schema)
+                row = postings_of(b.column(1).slice(at, n).cast(pa.binary()).to_pylist()) | {"doc_ids": b.column(0).slice(at, n).to_pylist()}
+                yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, INDEX)
 
 
 class Shard:
-    """A shard's posting lists, read back."""
+    """A shard's posting lists, read back; ``df``, ``slot`` and ``postings`` go by the term numbers of the queries."""
 
-    def __init__(self, row: dict, n_terms: int):
+    def __init__(self, row: dict, vocabulary: dict[bytes, int]):
         self.doc_ids, self.n_words = row["doc_ids"], np.array(row["n_words"], np.int64)
         self.first = np.r_[0, np.cumsum(self.n_words + 1)]
-        self.df = np.zeros(n_terms + 1, np.int64)
-        self.df[np.array(row["terms"], np.int64)] = row["lengths"]
-        self.start = np.r_[0, np.cumsum(self.df)]
+        lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
+        self.start = np.r_[0, np.cumsum(lengths)]
         self.positions = np.frombuffer(row["positions"], np.int32)
-        self.n_terms = n_terms
+        asked = np.fromiter((vocabulary.get(w, -1) for w in row["terms"].split()), np.int64)
+        known = np.flatnonzero(asked >= 0)
+        self.df, self.slot = np.zeros(len(vocabulary) + 1, np.int64), np.zeros(len(vocabulary) + 1, np.int64)
+        self.df[asked[known]] = lengths[known]
+        self.slot[asked[known]] = known
+        self.span = int(self.first[-1]) + WINDOW
+        self._lists = None
+
+    def holds(self, term: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """Whether each position, up to a window beyond the stream, is in the list of its term, which has one: binary search in the lists."""
+        if self._lists is None:
+            self._lists = np.repeat(np.arange(len(self.start) - 1), np.diff(self.start)) * self.span + self.positions
+        want = self.slot[term] * self.span + position
+        return self._lists[np.minimum(np.searchsorted(self._lists, want), len(self._lists) - 1)] == want
 
     def postings(self, term: int) -> np.ndarray:
-        return self.positions[self.start[term] : self.start[term + 1]]
+        at = self.start[self.slot[term]]
+        return self.positions[at : at + self.df[term]]
 
     def doc(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, positions, "right") - 1
@@ -118,15 +135,12 @@ def phrases(s: Shard, q: Queries) -> tuple[np.ndarray, np.ndarray]:
     live = np.flatnonzero(rare.min(1) > 0)
     if not len(live):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    # which term stands where, as read off the lists: membership in a list is then one comparison
-    here = np.full(int(s.first[-1]) + WINDOW + q.terms.shape[1], -1, np.int32)
-    here[s.positions] = np.repeat(np.arange(len(s.df), dtype=np.int32), s.df)
     found_w, found_p = [], []
     for part in np.array_split(live, max(1, int(rare[live, order[live, 0]].sum() // 2_000_000))):
         term, offset = q.terms[part, order[part, 0]], order[part, 0]
         n = s.df[term]
         window = np.repeat(part, n)
-        take = np.repeat(s.start[term] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        take = np.repeat(s.start[s.slot[term]] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
         at = s.positions[take].astype(np.int64) - np.repeat(offset, n)
         keep = at >= 0
         window, at = window[keep], at[keep]
@@ -135,7 +149,7 @@ def phrases(s: Shard, q: Queries) -> tuple[np.ndarray, np.ndarray]:
                 break
             column = order[window, k]
             want = q.terms[window, column]
-            keep = (want < 0) | (here[at + column] == want)
+            keep = (want < 0) | s.holds(want, at + column)
             window, at = window[keep], at[keep]
         found_w.append(window)
         found_p.append(at)
@@ -181,10 +195,15 @@ def _found_items(s: Shard, q: Queries, window: np.ndarray, at: np.ndarray) -> di
     return out
 
 
+def _hits(s: Shard, q: Queries, window: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hit words of each document of the shard."""
+    return np.add.reduceat(_hit(s, q, window, at).astype(np.int64), s.first[:-1]) if len(at) else np.zeros(len(s.doc_ids), np.int64)
+
+
 def _report(s: Shard, q: Queries) -> list:
     window, at = phrases(s, q)
     n = len(s.doc_ids)
-    hits = np.add.reduceat(_hit(s, q, window, at).astype(np.int64), s.first[:-1]) if len(at) else np.zeros(n, np.int64)
+    hits = _hits(s, q, window, at)
     items = _found_items(s, q, window, at)
     return [pa.array(s.doc_ids, pa.int64()), pa.array(s.n_words), pa.array(hits), pa.array([items.get(d, []) for d in range(n)], pa.list_(pa.string()))]
 
@@ -201,28 +220,30 @@ def _partial(s: Shard, q: Queries, shard: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["shard", "doc", "hit", "items"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", items_mb: float = ITEMS_MB) -> DataFrame:
-    """``(id, n_words, n_hit, items array<string>, contaminated)`` for every row of ``docs``.
-
-    Test items go to every executor, ``items_mb`` of them at once: a larger set is taken in passes over the stored index, whose hits are united.
-    Over ``ALL_ITEMS_MB`` raises.
-    """
+def _queries(items: DataFrame, item_id: str, item_text: str, items_mb: float) -> list[Queries]:
+    """The test items, in parts of about ``items_mb``; one part at least."""
     some = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
     size = some.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     if size > ALL_ITEMS_MB << 20:
         raise ValueError(f"the test items hold {size} bytes, more than {ALL_ITEMS_MB} MB")
-    listed = sorted((r.i, r.t.encode()) for r in some.collect())
-    vocabulary: dict[bytes, int] = {}
     parts, room = [[]], items_mb * (1 << 20)
-    for x in listed:
+    for x in sorted((r.i, r.t.encode()) for r in some.collect()):
         if room < len(x[1]) and parts[-1]:
             parts.append([])
             room = items_mb * (1 << 20)
         parts[-1].append(x)
         room -= len(x[1])
-    queries = [Queries(p, vocabulary=vocabulary) for p in parts]
-    sc, n_terms = docs.sparkSession.sparkContext, len(vocabulary)
-    index = cut(build_index(docs, sc.broadcast(vocabulary), id_col, text_col).withColumn("shard", F.monotonically_increasing_id()))
+    return [Queries(p) for p in parts]
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", items_mb: float = ITEMS_MB) -> DataFrame:
+    """``(id, n_words, n_hit, items array<string>, contaminated)`` for every row of ``docs``.
+
+    Test items go to every executor, ``items_mb`` of them at once: a larger set is taken in passes over the stored index, whose hits are united.
+    Over ``ALL_ITEMS_MB`` raises.
+    """
+    queries, sc = _queries(items, item_id, item_text, items_mb), docs.sparkSession.sparkContext
+    index = cut(build_index(docs, id_col, text_col).withColumn("shard", F.monotonically_increasing_id()))
 
     def run(shared, make):
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +251,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             for b in batches:
                 for at in range(b.num_rows):
                     row = b.slice(at, 1).to_pylist()[0]
-                    yield make(Shard(row, n_terms), q, row["shard"])
+                    yield make(Shard(row, q.vocabulary), q, row["shard"])
 
         return each
 
@@ -250,27 +271,55 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def near(docs: DataFrame, items: DataFrame, slack: int = 20, rarest: int = 3, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Proximity matches ``(id, item)``: documents that hold an item's rarest terms near one another. For sets of items that fit an executor."""
-    some = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
-    vocabulary: dict[bytes, int] = {}
-    q = Queries([(r.i, r.t.encode()) for r in some.collect()], vocabulary=vocabulary)
-    index = build_index(docs, docs.sparkSession.sparkContext.broadcast(vocabulary), id_col, text_col)
+    """Proximity matches ``(id, item)``: documents that hold an item's rarest terms near one another. Items are taken in passes as in ``contamination``."""
+    parts = [docs.sparkSession.sparkContext.broadcast(q) for q in _queries(items, item_id, item_text, ITEMS_MB)]
+    index = build_index(docs, id_col, text_col)
+    index = cut(index) if len(parts) > 1 else index
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                s = Shard(row, len(vocabulary))
-                pairs = proximity(s, q, slack, rarest)
-                yield pa.RecordBatch.from_arrays([pa.array([s.doc_ids[d] for d in pairs[:, 0]], pa.int64()), pa.array([q.names[i] for i in pairs[:, 1]], pa.string())], ["id", "item"])
+    def run(shared):
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            q = shared.value
+            for b in batches:
+                for at in range(b.num_rows):
+                    s = Shard(b.slice(at, 1).to_pylist()[0], q.vocabulary)
+                    pairs = proximity(s, q, slack, rarest)
+                    yield pa.RecordBatch.from_arrays([pa.array([s.doc_ids[d] for d in pairs[:, 0]], pa.int64()), pa.array([q.names[i] for i in pairs[:, 1]], pa.string())], ["id", "item"])
+
+        return each
+
+    out = None
+    for q in parts:
+        found = index.mapInArrow(run(q), "id long, item string")
+        out = found if out is None else out.unionByName(found)
+    return out
 
-    return index.mapInArrow(run, "id long, item string")
 
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", items_mb: float = ITEMS_MB) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, as they are.
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated, as they are."""
-    rows = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("n")))
-    found = contamination(rows.select("n", F.col("row").getField(text_col).alias("text")), items, "n", "text", item_id, item_text)
-    return rows.join(found.where("contaminated").select(F.col("id").alias("n")), "n", "left_anti").select("row.*")
+    Where the test items go in one pass, rows are decided on in the pass that makes their shard's lists, so no text is stored or
+    shuffled; else through :func:`contamination`.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    queries = _queries(items, item_id, item_text, items_mb)
+    if len(queries) > 1:
+        rows = cut(docs.select(whole, F.monotonically_increasing_id().alias("n")))
+        found = contamination(rows.select("n", F.col("row").getField(text_col).alias("text")), items, "n", "text", item_id, item_text, items_mb)
+        return rows.join(found.where("contaminated").select(F.col("id").alias("n")), "n", "left_anti").select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(queries[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
+        for b in batches:
+            text = b.column(1)
+            for at, n in stretches(text, SHARD):
+                s = Shard(postings_of(text.slice(at, n).cast(pa.binary()).to_pylist()) | {"doc_ids": range(n)}, q.vocabulary)
+                hits = _hits(s, q, *phrases(s, q))
+                clean = (hits == 0) | (20 * hits < s.n_words)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n).filter(pa.array(clean))], ["row"])
+
+    rows = docs.select(whole, F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.mapInArrow(run, StructType([rows.schema["row"]])).select("row.*")
 
 
 def op7_decontam(spark, sf_dir: str) -> DataFrame:

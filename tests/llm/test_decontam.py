@@ -60,9 +60,7 @@ def test_shards_and_long_text(spark, monkeypatch):
     items = [(1, " ".join(f"w{i}" for i in range(20)))]
     docs = [(i, "x " * 500 + " ".join(f"W{k}" for k in range(i, i + 15))) for i in range(10)]
     d = spark.createDataFrame(docs, "doc_id long, text string")
-    vocabulary = {}
-    decontam.Queries([("1", items[0][1].encode())], vocabulary=vocabulary)
-    assert decontam.build_index(d.coalesce(1), spark.sparkContext.broadcast(vocabulary), shard=1000).count() == 10
+    assert decontam.build_index(d.coalesce(1), shard=1000).count() == 10
     assert run(spark, docs, items) == brute(docs, items)
 
 
@@ -72,6 +70,30 @@ def test_proximity(spark):
     assert [tuple(r) for r in decontam.near(docs, items, slack=3).collect()] == [(1, "7")]
 
 
+def test_index_holds_every_term():
+    row = decontam.postings_of([b"b a b", None, b"", b"a c"])
+    s = decontam.Shard(row | {"doc_ids": [1, 2, 3, 4]}, {b"a": 0, b"z": 1, b"b": 2})
+    assert row["terms"] == b"b a c" and s.df.tolist() == [2, 0, 2, 0]
+    assert s.postings(0).tolist() == [1, 6] and s.postings(2).tolist() == [0, 2] and not len(s.postings(1))
+    assert s.holds(decontam.np.array([0, 0, 2, 2]), decontam.np.array([1, 2, 2, 20])).tolist() == [True, False, True, False]
+
+
+def test_decontaminate_drops_what_contamination_names(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(n))
+    items = [(k, text(15)) for k in range(6)] + [(9, "ax")]
+    docs = [(k % 37, rng.choice([None, "", text(30), text(400) + " " + items[k % 6][1], items[k % 6][1]]), k) for k in range(120)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, n int")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    flags = brute([(n, t) for _, t, n in docs], items)
+    want = sorted(f[0] for f in flags if not f[5])
+    assert 0 < len(want) < len(docs)
+    for size in (decontam.ITEMS_MB, 50 / (1 << 20)):
+        got = decontam.decontaminate(d, b, items_mb=size)
+        assert got.columns == d.columns and sorted(r.n for r in got.collect()) == want
+    assert decontam.decontaminate(d.limit(0), b).count() == 0 and decontam.decontaminate(d, b.limit(0)).count() == len(docs)
+
+
 def test_query(spark, sf):
     got = sorted((tuple(r) for r in decontam.op7_decontam(spark, sf).collect()), key=str)
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
