@@ -86,9 +86,9 @@ def edges_union_distinct(spark, sf_dir):
     return T.union_distinct(t.where("l_linenumber <= 3").select("line"), t.where("l_linenumber >= 2").select("line"))
 
 
-@query("SELECT 'left' AS side, value FROM (SELECT CAST(c_custkey AS BIGINT) AS value FROM {customer} EXCEPT SELECT o_custkey FROM {orders}) UNION ALL SELECT 'right', value FROM (SELECT o_custkey AS value FROM {orders} EXCEPT SELECT c_custkey FROM {customer})")
+@query("SELECT 'left' AS side, value FROM (SELECT CAST(c_custkey AS BIGINT) AS value FROM {customer} EXCEPT SELECT s_suppkey FROM {supplier}) UNION ALL SELECT 'right', value FROM (SELECT s_suppkey AS value FROM {supplier} EXCEPT SELECT c_custkey FROM {customer})")
 def value_set_difference(spark, sf_dir):
-    return P.differences(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select("o_custkey"))
+    return P.differences(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "supplier").select("s_suppkey"))
 
 
 @query("SELECT c_nationkey AS value FROM {customer} INTERSECT SELECT s_nationkey FROM {supplier}")
@@ -230,9 +230,9 @@ def gsi_range_lookup(spark, sf_dir):
     return out.select("pk", "SourceDocDate", "seq")
 
 
-@query(f"""SELECT ecli, summary FROM ({CASES}) WHERE ecli = 'ECLI:NL:O:1996:1'""")
+@query(f"""SELECT ecli, summary FROM ({CASES}) WHERE ecli IN ('ECLI:NL:F:1996:1', 'ECLI:NL:F:1997:1')""")
 def point_lookup(spark, sf_dir):
-    return view(spark, sf_dir, CASES).where(F.col("ecli") == "ECLI:NL:O:1996:1").select("ecli", "summary")
+    return view(spark, sf_dir, CASES).where(F.col("ecli").isin("ECLI:NL:F:1996:1", "ECLI:NL:F:1997:1")).select("ecli", "summary")
 
 
 @query(f"SELECT count(*) AS n, CAST(count(DISTINCT {ECLI}) AS BIGINT) AS keys FROM {{orders}}")
@@ -240,11 +240,11 @@ def row_count(spark, sf_dir):
     return table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.expr(ECLI)).alias("keys"))
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS item_id, lang FROM {documents} WHERE NOT starts_with(CAST(doc_id AS VARCHAR), '8')")
+@query("SELECT CAST(doc_id AS VARCHAR) AS item_id, lang, md5(text) AS digest FROM {documents} WHERE NOT starts_with(CAST(doc_id AS VARCHAR), '8')")
 def fulltext_documents(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("item_id"), "lang")).alias("j"))
-    d = t.select(F.from_json("j", strings(["item_id", "lang"])).alias("d")).select("d.*")
-    return d.where(~F.col("item_id").startswith("8"))
+    t = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("item_id"), "lang", "text")).alias("j"))
+    d = t.select(F.from_json("j", strings(["item_id", "lang", "text"])).alias("d")).select("d.*")
+    return d.where(~F.col("item_id").startswith("8")).select("item_id", "lang", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 _LISTS = {
